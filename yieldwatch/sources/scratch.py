@@ -30,8 +30,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Compute `df` once into the shared folder, so that a lost executor costs a re-read."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    """Compute `df` once into a table in the shared folder.
+
+    Later uses read the table, so they neither repeat the work nor depend on the executors
+    that did it, and the planner knows its real size.
+    """
+    path = scratch_path(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
