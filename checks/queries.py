@@ -89,6 +89,11 @@ def long_features(spark: SparkSession, sf: str) -> DataFrame:
     return features.all_features(fx.rates(spark, sf), daily=True)
 
 
+def feature_file(spark: SparkSession, sf: str) -> DataFrame:
+    """The long feature table as written, the way monitoring reads it."""
+    return settle(long_features(spark, sf))
+
+
 def wide_features(spark: SparkSession, sf: str) -> DataFrame:
     return rates.wide_features(fx.rates(spark, sf), fx.SERIES)
 
@@ -214,7 +219,7 @@ def read_metrics_json(spark, sf):
 def write_dashboard(spark, sf):
     path = scratch_path(spark, "dashboard")
     monitoring.all_dashboards(
-        predictions(spark, sf), long_features(spark, sf), daily=True, feature_keys=["series_id"], output=path
+        predictions(spark, sf), feature_file(spark, sf), daily=True, feature_keys=["series_id"], output=path
     )
     fact = spark.read.option("header", True).csv(f"{path}/fact")
     return fact.groupBy("target", "model").agg(
@@ -587,7 +592,7 @@ SUMMARY_SQL = f"""WITH {sq.MONITORING.replace("scores AS", "stability AS").repla
 @query("monitoring_summary", SUMMARY_SQL, {**SCORE_DIGITS, "drift_rate": 10})
 def monitoring_summary(spark, sf):
     board = monitoring.all_dashboards(
-        predictions(spark, sf), long_features(spark, sf), daily=True, feature_keys=["series_id"]
+        predictions(spark, sf), feature_file(spark, sf), daily=True, feature_keys=["series_id"]
     )
     return board.summary
 
@@ -873,7 +878,7 @@ REPORT_DIGITS = {"drift_score": 8, "train_mean": 4, "test_mean": 4, "mean_diff_p
 
 @query("feature_drift", f"WITH {sq.FEATURE_DRIFT} SELECT * FROM report", REPORT_DIGITS)
 def feature_drift(spark, sf):
-    return monitoring.drift_report(long_features(spark, sf), ["series_id"])
+    return monitoring.drift_report(feature_file(spark, sf), ["series_id"])
 
 
 @query(
@@ -883,7 +888,7 @@ def feature_drift(spark, sf):
     REPORT_DIGITS,
 )
 def top_drift(spark, sf):
-    return drift.top_drift(monitoring.drift_report(long_features(spark, sf), ["series_id"]))
+    return drift.top_drift(monitoring.drift_report(feature_file(spark, sf), ["series_id"]))
 
 
 @query(
@@ -905,7 +910,7 @@ def ks_drift(spark, sf):
 
 @query("ks_report")
 def ks_report(spark, sf):
-    return monitoring.drift_report(long_features(spark, sf), ["series_id"], method="ks")
+    return monitoring.drift_report(feature_file(spark, sf), ["series_id"], method="ks")
 
 
 @query(
@@ -1153,5 +1158,5 @@ def monitoring_dashboard(spark, sf):
 @query("all_dashboards", FACT_SQL, FACT_DIGITS)
 def all_dashboards(spark, sf):
     return monitoring.all_dashboards(
-        predictions(spark, sf), long_features(spark, sf), daily=True, feature_keys=["series_id"]
+        predictions(spark, sf), feature_file(spark, sf), daily=True, feature_keys=["series_id"]
     ).fact

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from yieldwatch.functions.scalars import null_if_nan
 from yieldwatch.operators.prefix import prefix_sums
 
 BINS = 10
@@ -15,74 +14,78 @@ THRESHOLD = 0.25
 SIGNIFICANT, STABLE = "Significant", "Stable"
 
 
+def _number(name: str) -> str:
+    """A column as double in SQL, NULL for NaN."""
+    column = "`" + name.replace("`", "``") + "`"
+    return f"CASE WHEN NOT isnan({column}) THEN CAST({column} AS DOUBLE) END"
+
+
 def feature_values(df: DataFrame, features: Sequence[str], split: str) -> DataFrame:
-    """(position, feature, is_train, value): one row per row and feature, no shuffle."""
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("position"),
-                F.lit(name).alias("feature"),
-                null_if_nan(F.col(name).cast("double")).alias("value"),
-            )
-            for i, name in enumerate(features)
-        ]
-    )
-    return df.select((F.col(split) == "train").alias("is_train"), F.explode(cells).alias("_c")).select(
-        "_c.*", "is_train"
+    """(position, value, is_train): one row per known value, no shuffle.
+
+    `position` is the place in `features`; the name is put back after counting.
+    """
+    cells = ", ".join(f"struct({i} AS position, {_number(name)} AS value)" for i, name in enumerate(features))
+    return df.select((F.col(split) == "train").alias("is_train"), F.expr(f"inline(array({cells}))")).filter(
+        F.col("value").isNotNull()
     )
 
 
-def _bin(x: Column, low: Column, high: Column, bins: int) -> Column:
-    """1..bins for low edge < x <= high edge, 0 below and bins+1 above.
+def _feature_name(features: Sequence[str]) -> Column:
+    return F.get(F.array(*[F.lit(name) for name in features]), F.col("position")).alias("feature")
+
+
+def _edges(low: Column, high: Column, bins: int) -> Column:
+    """The bins of one feature: the very first edge, then start + i * step up to end.
 
     Edges are even between the lowest and highest training value; the first one lies a
     thousandth of the range lower. A constant is widened by a thousandth of its value (or
-    0.001) on both sides instead. A value on the very first edge belongs to bin 1.
+    0.001) on both sides instead.
     """
     pad = F.when(low == 0, F.lit(0.001)).otherwise(F.abs(low) * 0.001)
     flat = low == high
     start = F.when(flat, low - pad).otherwise(low)
     end = F.when(flat, high + pad).otherwise(high)
-    step = (end - start) / bins
     first = F.when(flat, start).otherwise(low - (high - low) * 0.001)
-    passed = (x > first).cast("int")
+    return F.struct(
+        first.alias("first"), start.alias("start"), ((end - start) / bins).alias("step"), end.alias("end")
+    )
+
+
+def _bin(x: Column, edges: Column, bins: int) -> Column:
+    """1..bins for low edge < x <= high edge, 0 below and bins + 1 above.
+
+    A value on the very first edge belongs to bin 1.
+    """
+    passed = (x > edges["first"]).cast("int") + (x > edges["end"]).cast("int")
     for i in range(1, bins):
-        passed = passed + (x > start + i * step).cast("int")
-    passed = passed + (x > end).cast("int")
-    return F.when(x == first, F.lit(1)).otherwise(passed)
+        passed = passed + (x > edges["start"] + i * edges["step"]).cast("int")
+    return F.when(x == edges["first"], F.lit(1)).otherwise(passed)
 
 
 def bin_counts(df: DataFrame, features: Sequence[str], split: str = "split", bins: int = BINS) -> DataFrame:
     """(feature, bin, counts and sums of both sides): all features in one counting pass.
 
-    The training bounds of all features come from a one-row subquery (two numbers per
+    The training edges of all features come from a one-row subquery (four numbers per
     column), and the shuffle carries at most bins + 2 rows per feature and task.
     """
-    train = F.col(split) == "train"
-
-    def known(name: str) -> Column:
-        return F.when(train, null_if_nan(F.col(name).cast("double")))
-
-    bounds = df.agg(
-        F.array(*[F.struct(F.min(known(c)).alias("low"), F.max(known(c)).alias("high")) for c in features])
-    ).scalar()
-    values = (
-        feature_values(df, features, split)
-        .filter(F.col("value").isNotNull())
-        .withColumn("_bounds", bounds)
-        .withColumn("_low", F.col("_bounds")[F.col("position")]["low"])
-        .withColumn("_high", F.col("_bounds")[F.col("position")]["high"])
-    )
+    ranges = ", ".join(f"struct(min({_number(c)}) AS low, max({_number(c)}) AS high)" for c in features)
+    bounds = df.filter(F.col(split) == "train").agg(F.expr(f"array({ranges})").alias("b"))
+    edges = bounds.select(F.transform("b", lambda b: _edges(b["low"], b["high"], bins))).scalar()
     value, is_train = F.col("value"), F.col("is_train")
     return (
-        values.select("feature", "is_train", "value", _bin(value, F.col("_low"), F.col("_high"), bins).alias("bin"))
-        .groupBy("feature", "bin")
+        feature_values(df, features, split)
+        .withColumn("_all", edges)
+        .withColumn("_edges", F.get("_all", F.col("position")))
+        .select("position", "is_train", "value", _bin(value, F.col("_edges"), bins).alias("bin"))
+        .groupBy("position", "bin")
         .agg(
             F.count_if(is_train).alias("n_train"),
             F.count_if(~is_train).alias("n_test"),
             F.coalesce(F.sum(F.when(is_train, value)), F.lit(0.0)).alias("sum_train"),
             F.coalesce(F.sum(F.when(~is_train, value)), F.lit(0.0)).alias("sum_test"),
         )
+        .select(_feature_name(features), "bin", "n_train", "n_test", "sum_train", "sum_test")
     )
 
 
@@ -119,14 +122,13 @@ def psi(df: DataFrame, features: Sequence[str], split: str = "split", bins: int
 
 def ks_statistic(df: DataFrame, features: Sequence[str], split: str = "split") -> DataFrame:
     """Two-sample Kolmogorov-Smirnov distance per feature, its asymptotic p, and the means."""
-    values = feature_values(df, features, split).filter(F.col("value").isNotNull())
-    counts = values.groupBy("feature", "value").agg(
+    counts = feature_values(df, features, split).groupBy("position", "value").agg(
         F.count_if("is_train").alias("n_train"), F.count_if(~F.col("is_train")).alias("n_test")
     )
-    running = prefix_sums(counts, ["feature"], "value", ["n_train", "n_test"])
+    running = prefix_sums(counts, ["position"], "value", ["n_train", "n_test"])
     below_train = F.try_divide(F.col("before_n_train") + F.col("n_train"), F.col("total_n_train"))
     below_test = F.try_divide(F.col("before_n_test") + F.col("n_test"), F.col("total_n_test"))
-    stats = running.groupBy("feature").agg(
+    stats = running.groupBy("position").agg(
         F.max(F.abs(below_train - below_test)).alias("ks"),
         F.sum("n_train").alias("n_train"),
         F.sum("n_test").alias("n_test"),
@@ -134,7 +136,7 @@ def ks_statistic(df: DataFrame, features: Sequence[str], split: str = "split") -
         F.try_divide(F.sum(F.col("value") * F.col("n_test")), F.sum("n_test")).alias("test_mean"),
     )
     n, m = F.col("n_train").cast("double"), F.col("n_test").cast("double")
-    return stats.withColumn("p_value", _kolmogorov_tail(F.col("ks") * F.sqrt(n * m / (n + m))))
+    return stats.withColumn("feature", _feature_name(features)).drop("position").withColumn("p_value", _kolmogorov_tail(F.col("ks") * F.sqrt(n * m / (n + m))))
 
 
 def _kolmogorov_tail(scaled: Column, terms: int = 100) -> Column:

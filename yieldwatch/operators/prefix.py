@@ -15,15 +15,21 @@ from pyspark.sql import functions as F
 BUCKET = "_bucket"
 
 
-def quantile_bucket(df: DataFrame, order: str, buckets: int) -> DataFrame:
-    """Add the number of approximate quantiles of `order` below the value."""
+def quantile_bucket(df: DataFrame, order: str, levels: int = 7) -> DataFrame:
+    """Add the number of approximate quantiles of `order` below the value: 2**levels buckets.
+
+    The quantiles are one array from a subquery; a binary search of `levels` comparisons
+    finds the bucket of a row.
+    """
+    buckets = 2**levels
     fractions = [i / buckets for i in range(1, buckets)]
     edges = df.agg(F.percentile_approx(order, fractions, 10 * buckets)).scalar()
-    return (
-        df.withColumn("_edges", edges)
-        .withColumn(BUCKET, F.size(F.filter("_edges", lambda edge: edge < F.col(order))))
-        .drop("_edges")
-    )
+    out = df.withColumn("_edges", edges).withColumn(BUCKET, F.lit(0))
+    for level in reversed(range(levels)):
+        half = 2**level
+        passed = F.get("_edges", F.col(BUCKET) + half - 1) < F.col(order)
+        out = out.withColumn(BUCKET, F.col(BUCKET) + F.when(passed, half).otherwise(0))
+    return out.drop("_edges")
 
 
 def prefix_sums(
@@ -33,18 +39,18 @@ def prefix_sums(
     sums: Sequence[str],
     descending: bool = False,
     bucket: Column | None = None,
-    buckets: int = 128,
+    levels: int = 7,
 ) -> DataFrame:
     """Add `before_x` (sum of x over earlier rows of the key) and `total_x` for each x.
 
     One row per (keys, order). `bucket` may be any column that never falls as `order`
-    rises; by default it comes from quantiles of a numeric `order`.
+    rises; by default there are 2**levels quantile buckets of a numeric `order`.
     """
     keys = list(keys)
-    bucketed = quantile_bucket(df, order, buckets) if bucket is None else df.withColumn(BUCKET, bucket)
+    bucketed = quantile_bucket(df, order, levels) if bucket is None else df.withColumn(BUCKET, bucket)
     way = F.desc if descending else F.asc
 
-    # At most `buckets` rows per key from here on.
+    # One row per key and bucket from here on.
     in_order = Window.partitionBy(*keys).orderBy(way(BUCKET)).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*keys)
     totals = bucketed.groupBy(*keys, BUCKET).agg(*[F.sum(x).alias(f"_sum_{x}") for x in sums])
