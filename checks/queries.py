@@ -185,7 +185,7 @@ def write_features(spark, sf):
     f"""WITH {sq.PREDICTIONS}
     SELECT target, date, max(actual) AS actual, max(predicted) FILTER (model = 'naive') AS naive_pred,
            max(predicted) FILTER (model = 'ma7') AS ma7_pred FROM predictions GROUP BY target, date""",
-    {"ma7_pred": 4},
+    {"ma7_pred": 3},
 )
 def write_predictions(spark, sf):
     path = scratch_path(spark, "predictions")
@@ -204,7 +204,7 @@ def write_metrics_json(spark, sf):
     return documents.select("target", F.size(F.json_object_keys("value")).cast("long").alias("models"))
 
 
-@query("read_metrics_json", f"WITH {sq.METRICS} SELECT * FROM metrics", {"rmse": 4, "mae": 4})
+@query("read_metrics_json", f"WITH {sq.METRICS} SELECT * FROM metrics", {"rmse": 3, "mae": 3})
 def read_metrics_json(spark, sf):
     path = scratch_path(spark, "metrics")
     writers.write_metrics_json(evaluate.regression_metrics(predictions(spark, sf)), path)
@@ -346,7 +346,7 @@ def drop_warmup(spark, sf):
     UNION ALL SELECT p.target, p.date, 'ma7', p.actual, NULL FROM predictions p
     LEFT JOIN predictions q ON p.target = q.target AND p.date = q.date AND q.model = 'ma7'
     WHERE p.model = 'naive' AND q.target IS NULL""",
-    {"predicted": 4},
+    {"predicted": 3},
 )
 def predictions_long(spark, sf):
     wide = writers.predictions_wide(predictions(spark, sf), ["naive", "ma7"])
@@ -499,7 +499,7 @@ def avg_volatility_by_segment(spark, sf):
     f"""WITH {sq.RATES} SELECT series_id, count(*) AS count, min(value) AS min_rate, max(value) AS max_rate,
     avg(value) AS avg_rate FROM rates_raw WHERE date >= DATE '1997-01-01' AND date < DATE '1998-01-01'
     GROUP BY series_id""",
-    {"avg_rate": 4},
+    {"avg_rate": 3},
 )
 def range_stats(spark, sf):
     return rp.range_stats(fx.rates_raw(spark, sf), RANGE[0], datetime.date(1998, 1, 1), ["series_id"])
@@ -528,7 +528,7 @@ def class_balance(spark, sf):
     return rp.class_balance(fx.behavior(spark, sf), prepare.LABELS)
 
 
-@query("regression_metrics", f"WITH {sq.METRICS} SELECT * FROM metrics", {"rmse": 4, "mae": 4})
+@query("regression_metrics", f"WITH {sq.METRICS} SELECT * FROM metrics", {"rmse": 3, "mae": 3})
 def regression_metrics(spark, sf):
     return evaluate.regression_metrics(predictions(spark, sf))
 
@@ -537,7 +537,7 @@ def regression_metrics(spark, sf):
     "best_baseline",
     f"""WITH {sq.METRICS} SELECT target, arg_min(model, rmse) AS best_model, min(rmse) AS rmse,
     arg_min(mae, rmse) AS mae FROM metrics GROUP BY target""",
-    {"rmse": 4, "mae": 4},
+    {"rmse": 3, "mae": 3},
 )
 def best_baseline(spark, sf):
     return evaluate.best_baseline(evaluate.regression_metrics(predictions(spark, sf)))
@@ -550,7 +550,7 @@ def best_baseline(spark, sf):
     SELECT m.target, m.model, m.rmse, m.mae, b.baseline_model, b.baseline_rmse,
            (b.baseline_rmse - m.rmse) / b.baseline_rmse * 100 AS improvement_pct
     FROM metrics m JOIN best b ON m.target = b.target""",
-    {"rmse": 4, "mae": 4, "baseline_rmse": 4, "improvement_pct": 6},
+    {"rmse": 3, "mae": 3, "baseline_rmse": 3, "improvement_pct": 6},
 )
 def improvement_vs_baseline(spark, sf):
     metrics = evaluate.regression_metrics(predictions(spark, sf))
@@ -567,7 +567,7 @@ def best_auc_gate(spark, sf):
     return evaluate.best_auc_gate(curves.roc_auc(fx.scored(spark, sf)))
 
 
-SCORE_DIGITS = {"overall_rmse": 4, "mean_rolling_rmse": 4, "std_rolling_rmse": 4, "stability_index": 8}
+SCORE_DIGITS = {"overall_rmse": 3, "mean_rolling_rmse": 3, "std_rolling_rmse": 3, "stability_index": 8}
 
 
 @query(
@@ -625,7 +625,7 @@ feature_query("diff", ["diff"], lambda w: features.changes("value", w))
 @query(
     "ma_crossover",
     f"WITH {sq.FEATURES} SELECT series_id, date, roll_mean_7 - roll_mean_30 AS ma_crossover FROM steps",
-    {"ma_crossover": 4},
+    {"ma_crossover": 3},
 )
 def ma_crossover(spark, sf):
     return features.time_features(fx.rates(spark, sf), daily=True).select(*KEY, "ma_crossover")
@@ -650,7 +650,7 @@ def engineer_features(spark, sf):
 ROLLED_SQL = f"WITH {sq.MONITORING} SELECT * FROM rolled"
 
 
-@query("rolling_rmse", ROLLED_SQL, {"predicted": 4, "rolling_rmse": 4})
+@query("rolling_rmse", ROLLED_SQL, {"predicted": 3, "rolling_rmse": 3})
 def rolling_rmse(spark, sf):
     return evaluate.rolling_rmse(predictions(spark, sf), daily=True)
 
@@ -822,7 +822,7 @@ def label_encode(spark, sf):
     f"""WITH {sq.PREDICTIONS} SELECT target, date, model, actual - predicted AS error,
     abs(actual - predicted) AS error_abs, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month,
     CAST(quarter(date) AS INTEGER) AS quarter, strftime(date, '%Y-%m') AS year_month FROM predictions""",
-    {"error": 4, "error_abs": 4},
+    {"error": 3, "error_abs": 3},
 )
 def dashboard_fields(spark, sf):
     rows = predictions(spark, sf).withColumns(monitor.dashboard_fields())
@@ -873,7 +873,7 @@ def psi(spark, sf):
     return drift.psi(line_split(spark, sf), LINE_COLUMNS)
 
 
-REPORT_DIGITS = {"drift_score": 8, "train_mean": 4, "test_mean": 4, "mean_diff_pct": 4}
+REPORT_DIGITS = {"drift_score": 8, "train_mean": 3, "test_mean": 3, "mean_diff_pct": 3}
 
 
 @query("feature_drift", f"WITH {sq.FEATURE_DRIFT} SELECT * FROM report", REPORT_DIGITS)
@@ -971,7 +971,7 @@ def score_histogram(spark, sf):
 @query(
     "forecast_vs_actual",
     f"WITH {sq.PREDICTIONS} SELECT target, model, date, actual, predicted AS forecast FROM predictions",
-    {"forecast": 4},
+    {"forecast": 3},
 )
 def forecast_vs_actual(spark, sf):
     return predictions(spark, sf).select("target", "model", "date", "actual", F.col("predicted").alias("forecast"))
@@ -1145,7 +1145,7 @@ FACT_SQL = f"""WITH {sq.MONITORING}
            CAST(quarter(r.date) AS INTEGER) AS quarter, strftime(r.date, '%Y-%m') AS year_month
     FROM rolled r JOIN scores s ON r.target = s.target AND r.model = s.model"""
 FACT_DIGITS = {
-    "predicted": 4, "error": 4, "error_abs": 4, "rolling_rmse": 4, "stability_index": 8, "overall_rmse": 4,
+    "predicted": 3, "error": 3, "error_abs": 3, "rolling_rmse": 3, "stability_index": 8, "overall_rmse": 3,
 }
 
 

@@ -29,15 +29,21 @@ def query(name: str, sql: str | None = None, digits: dict[str, int] | None = Non
     return register
 
 
+def shift(digits: int) -> float:
+    """A part of the last digit. Means of cents often lie exactly halfway between two
+    rounded values, where the last bit decides; shifted on both sides they do not."""
+    return 0.1234567 * 10.0**-digits
+
+
 def round_columns(df: DataFrame, digits: dict[str, int]) -> DataFrame:
     if not digits:
         return df
     # Adding zero turns a rounded -0.0 into 0.0.
-    return df.withColumns({c: F.round(F.col(c), n) + 0.0 for c, n in digits.items()})
+    return df.withColumns({c: F.round(F.col(c) + shift(n), n) + 0.0 for c, n in digits.items()})
 
 
 def round_sql(sql: str, digits: dict[str, int]) -> str:
     if not digits:
         return sql
-    parts = ", ".join(f'round("{c}", {n}) + 0e0 AS "{c}"' for c, n in digits.items())
+    parts = ", ".join(f'round("{c}" + {shift(n)!r}, {n}) + 0e0 AS "{c}"' for c, n in digits.items())
     return f"SELECT * REPLACE ({parts}) FROM ({sql}) AS q"

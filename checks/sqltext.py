@@ -51,7 +51,7 @@ CALENDAR = (
     "day_of_week_sin", "day_of_week_cos", "month_sin", "month_cos", "is_weekend", "is_month_end", "is_quarter_end",
 )
 INEXACT = {
-    "roll_mean_7": 4, "roll_std_7": 4, "roll_mean_30": 4, "roll_std_30": 4, "ma_crossover": 4,
+    "roll_mean_7": 3, "roll_std_7": 3, "roll_mean_30": 3, "roll_std_30": 3, "ma_crossover": 3,
     "day_of_week_sin": 10, "day_of_week_cos": 10, "month_sin": 10, "month_cos": 10,
 }
 
