@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from yieldwatch.functions.scalars import null_if_nan
 from yieldwatch.operators.halo import CHUNK, chunk_of
 
 
@@ -37,7 +38,7 @@ def uniform_calendar(
     next_midnight = day if is_date else F.when(at > midnight, F.date_add(day, 1)).otherwise(day)
 
     by_day = (
-        observations.filter(F.col(value).isNotNull())
+        observations.filter(null_if_nan(F.col(value)).isNotNull())
         .groupBy(key, next_midnight.alias("_day"))
         .agg(
             F.max_by(value, ts).alias(value),
@@ -66,7 +67,7 @@ def fill_missing(
     value: str = "value",
     leading: str = "backfill",
 ) -> DataFrame:
-    """Replace NULLs by the last earlier value; a leading gap by the first value.
+    """Replace NULL and NaN by the last earlier value; a leading gap by the first value.
 
     `leading="null"` leaves the leading gap, so that no value comes from the future. Each
     time chunk is filled on its own; what crosses a chunk border comes from a table with one
@@ -76,7 +77,7 @@ def fill_missing(
         raise ValueError("leading must be 'null' or 'backfill'")
     keys = list(keys)
     cell = [*keys, CHUNK]
-    rows = df.withColumn(CHUNK, chunk_of(df, order))
+    rows = df.withColumn(value, null_if_nan(F.col(value))).withColumn(CHUNK, chunk_of(df, order))
     observed_at = F.when(F.col(value).isNotNull(), F.col(order))
     chunks = Window.partitionBy(*keys).orderBy(CHUNK)
     earlier = chunks.rowsBetween(Window.unboundedPreceding, -1)
