@@ -122,10 +122,11 @@ def psi(df: DataFrame, features: Sequence[str], split: str = "split", bins: int
 
 def ks_statistic(df: DataFrame, features: Sequence[str], split: str = "split") -> DataFrame:
     """Two-sample Kolmogorov-Smirnov distance per feature, its asymptotic p, and the means."""
-    counts = feature_values(df, features, split).groupBy("position", "value").agg(
+    values = feature_values(df, features, split)
+    counts = values.groupBy("position", "value").agg(
         F.count_if("is_train").alias("n_train"), F.count_if(~F.col("is_train")).alias("n_test")
     )
-    running = prefix_sums(counts, ["position"], "value", ["n_train", "n_test"])
+    running = prefix_sums(counts, ["position"], "value", ["n_train", "n_test"], sample=values)
     below_train = F.try_divide(F.col("before_n_train") + F.col("n_train"), F.col("total_n_train"))
     below_test = F.try_divide(F.col("before_n_test") + F.col("n_test"), F.col("total_n_test"))
     stats = running.groupBy("position").agg(

@@ -1,8 +1,9 @@
 """Running totals over a global order, without one task per key.
 
-Rows are put into ordered buckets (by approximate quantiles, so that a hot key gets its
-share of buckets), summed per bucket, and the totals of the earlier buckets are added to
-a running sum inside each bucket. The buckets only spread the work; the sums are exact.
+Rows are put into ordered buckets, summed per bucket, and the totals of the earlier buckets
+are added to a running sum inside each bucket. The bucket edges come from a sample of the
+values, so that a hot key gets its share of buckets; they only spread the work, the sums
+are exact whatever the edges.
 """
 
 from __future__ import annotations
@@ -11,19 +12,30 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BUCKET = "_bucket"
 
 
-def quantile_bucket(df: DataFrame, order: str, levels: int = 7) -> DataFrame:
-    """Add the number of approximate quantiles of `order` below the value: 2**levels buckets.
+def bucket_edges(sample: DataFrame, order: str, edges: int) -> Column:
+    """At most `edges` values that cut `order` into about equal parts, as a subquery.
 
-    The quantiles are one array from a subquery; a binary search of `levels` comparisons
-    finds the bucket of a row.
+    Numbers give approximate quantiles, from sketches merged over the tasks. Text gives the
+    values with the lowest hashes, which is a random choice that every run repeats.
     """
-    buckets = 2**levels
-    fractions = [i / buckets for i in range(1, buckets)]
-    edges = df.agg(F.percentile_approx(order, fractions, 10 * buckets)).scalar()
+    if isinstance(sample.schema[order].dataType, T.StringType):
+        chosen = sample.select(order).orderBy(F.xxhash64(order), order).limit(edges)
+        return chosen.agg(F.sort_array(F.collect_list(order))).scalar()
+    fractions = [i / (edges + 1) for i in range(1, edges + 1)]
+    return sample.agg(F.percentile_approx(order, fractions, 10 * edges)).scalar()
+
+
+def add_bucket(df: DataFrame, order: str, levels: int = 7, sample: DataFrame | None = None) -> DataFrame:
+    """Add the number of edges below the value: at most 2**levels buckets.
+
+    A binary search of `levels` comparisons finds the bucket of a row.
+    """
+    edges = bucket_edges(df if sample is None else sample, order, 2**levels - 1)
     out = df.withColumn("_edges", edges).withColumn(BUCKET, F.lit(0))
     for level in reversed(range(levels)):
         half = 2**level
@@ -38,16 +50,16 @@ def prefix_sums(
     order: str,
     sums: Sequence[str],
     descending: bool = False,
-    bucket: Column | None = None,
     levels: int = 7,
+    sample: DataFrame | None = None,
 ) -> DataFrame:
     """Add `before_x` (sum of x over earlier rows of the key) and `total_x` for each x.
 
-    One row per (keys, order). `bucket` may be any column that never falls as `order`
-    rises; by default there are 2**levels quantile buckets of a numeric `order`.
+    One row per (keys, order). `sample` may give the rows the bucket edges are taken from,
+    where reading them is cheaper than computing `df` once more.
     """
     keys = list(keys)
-    bucketed = quantile_bucket(df, order, levels) if bucket is None else df.withColumn(BUCKET, bucket)
+    bucketed = add_bucket(df, order, levels, sample)
     way = F.desc if descending else F.asc
 
     # One row per key and bucket from here on.

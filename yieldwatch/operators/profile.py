@@ -53,7 +53,7 @@ def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         F.max("value").alias("max"),
     )
     counts = values.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
-    running = prefix_sums(counts, ["column_name"], "value", ["n"])
+    running = prefix_sums(counts, ["column_name"], "value", ["n"], sample=values)
 
     rank = (F.col("total_n") - 1) * F.col("q")
     below, above = F.floor(rank), F.ceil(rank)

@@ -80,13 +80,14 @@ def train_eval_regress(
     `output` the predictions, metrics and importances are written below that folder.
     """
     spark = features.sparkSession
-    predictions, importance = [], []
+    predictions, importance, names = [], [], {}
     for target in targets:
         prepared = prepare_ml(features, target, raw_series)
         columns = [c for c in prepared.columns if c not in ("date", target)]
         rows = settle(chrono_split(prepared, (), "date", test_size))
         train, test = rows.filter("split = 'train'"), rows.filter("split = 'test'")
         for name, estimator in estimators(target).items():
+            names[name] = True
             model = m.fit(train, columns, estimator)
             scored = m.predict(model, test, ["date"], target)
             predictions.append(scored.select(F.lit(target).alias("target"), F.lit(name).alias("model"), "*"))
@@ -100,8 +101,7 @@ def train_eval_regress(
         _union(importance),
     )
     if output is not None:
-        names = [row.model for row in metrics.select("model").distinct().orderBy("model").collect()]
-        write_predictions(all_predictions, f"{output}/predictions", names)
+        write_predictions(all_predictions, f"{output}/predictions", list(names))
         write_metrics_json(metrics, f"{output}/metrics")
         result.importance.write.partitionBy("target", "model").option("header", True).csv(f"{output}/importance")
     return result

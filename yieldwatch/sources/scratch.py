@@ -25,8 +25,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder; every call gives another one."""
-    return f"{shared_dir(spark).rstrip('/')}/yieldwatch/{name}-{uuid.uuid4().hex}"
+    """A new path below the shared folder, in this application's own part of it."""
+    application = spark.sparkContext.applicationId
+    return f"{shared_dir(spark).rstrip('/')}/yieldwatch/{application}/{name}-{uuid.uuid4().hex}"
 
 
 def settle(df: DataFrame) -> DataFrame:
