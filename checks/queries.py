@@ -61,6 +61,11 @@ def customers(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def behavior_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The customer view as a stored table, for operators that read it more than once."""
+    return settle(fx.behavior(spark, sf))
+
+
 def outflow(balance):
     c = F.col
     return sc.outflow_score(
@@ -328,7 +333,7 @@ def prepare_ml(spark, sf):
     {"outflow_probability": 10, "early_repayment_probability": 10},
 )
 def prepare_behavioral(spark, sf):
-    return prepare.prepare_behavioral(customers(spark, sf), "outflow_event")
+    return prepare.prepare_behavioral(settle(customers(spark, sf)), "outflow_event")
 
 
 @query(
@@ -397,7 +402,7 @@ DESCRIBED = [
     {"mean": 6, "std": 6, "q25": 8, "q50": 8, "q75": 8},
 )
 def describe_numeric(spark, sf):
-    return profile.describe_numeric(fx.behavior(spark, sf), DESCRIBED)
+    return profile.describe_numeric(behavior_table(spark, sf), DESCRIBED)
 
 
 @query(
@@ -813,7 +818,7 @@ calendar_query("calendar_flags", list(sq.CALENDAR[11:]), cal.calendar_flags)
     CAST(dense_rank() OVER (ORDER BY customer_segment) - 1 AS INTEGER) AS customer_segment_code FROM behavior""",
 )
 def label_encode(spark, sf):
-    rows = fx.behavior(spark, sf).select("customer_id", "customer_segment")
+    rows = behavior_table(spark, sf).select("customer_id", "customer_segment")
     return prepare.label_encode(rows, ["customer_segment"], suffix="_code")
 
 
@@ -1021,7 +1026,7 @@ def regress_rows(spark, sf):
 
 
 def classify_rows(spark, sf):
-    prepared = prepare.prepare_behavioral(customers(spark, sf), "outflow_event")
+    prepared = prepare.prepare_behavioral(settle(customers(spark, sf)), "outflow_event")
     rows = hash_split(prepared, "customer_id")
     columns = [c for c in prepared.columns if c not in ("customer_id", "outflow_event")]
     rows = settle(rows)
@@ -1075,7 +1080,7 @@ def train_eval_regress(spark, sf):
 @query("logit_classify")
 def logit_classify(spark, sf):
     train, test, columns = classify_rows(spark, sf)
-    model = models.fit(train, columns, models.logistic_classifier("outflow_event", train.count(), max_iter=50))
+    model = models.fit(train, columns, models.logistic_classifier("outflow_event", train.count(), max_iter=20))
     return models.positive_score(model, test, ["customer_id"], "outflow_event")
 
 
@@ -1115,7 +1120,7 @@ def train_eval_classify(spark, sf):
 
 
 def forecast_inputs(spark, sf):
-    clean = fx.rates(spark, sf)
+    clean = settle(fx.rates(spark, sf))
     cuts = split_dates(clean)
     train = chrono_split(clean).filter("split = 'train'").drop("split")
     return train, cuts.select("series_id", (F.col("n_rows") - F.col("n_train")).alias("horizon"))

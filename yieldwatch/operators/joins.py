@@ -20,13 +20,16 @@ def join_summary(
     on: Sequence[str],
     how: str = "inner",
     max_rows: int = MAX_BROADCAST_ROWS,
+    stored: bool = False,
 ) -> DataFrame:
     """Join one-row-per-key `summary` to `rows`.
 
-    The summary is computed once into the shared folder and counted there. Up to `max_rows`
+    The summary is computed once into the shared folder (unless `stored` says that it reads
+    a table already) and counted there. Up to `max_rows`
     it is broadcast, so the rows are not shuffled and a hot key costs nothing. Beyond that
     it is a shuffle join without a hint, where AQE splits the partitions of hot keys.
     """
-    summary = settle(summary)
+    if not stored:
+        summary = settle(summary)
     small = summary.limit(max_rows + 1).count() <= max_rows
     return rows.join(F.broadcast(summary) if small else summary, list(on), how)

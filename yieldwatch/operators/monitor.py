@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from yieldwatch.operators.drift import SIGNIFICANT
 from yieldwatch.operators.evaluate import TARGET_MODEL, rolling_rmse, stability_index
 from yieldwatch.operators.joins import join_summary
+from yieldwatch.sources.scratch import settle
 
 # The short spellings under which a model's column may be found.
 ALIASES = {"xgboost": "xgb", "randomforest": "random"}
@@ -77,12 +78,13 @@ def monitoring_fact(
 ) -> tuple[DataFrame, DataFrame]:
     """(fact, scores): 14 columns per prediction, and the numbers per (target, model).
 
-    All targets and models are done in one plan.
+    All targets and models are done in one plan. The scores are stored once: the fact table
+    and the summary both read them.
     """
     rolled = rolling_rmse(predictions, TARGET_MODEL, date, window, daily)
-    scores = stability_index(rolled)
+    scores = settle(stability_index(rolled))
     constants = scores.select(*TARGET_MODEL, "stability_index", "overall_rmse")
-    fact = join_summary(rolled, constants, TARGET_MODEL).withColumns(dashboard_fields(date))
+    fact = join_summary(rolled, constants, TARGET_MODEL, stored=True).withColumns(dashboard_fields(date))
     return fact.select(*FACT_COLUMNS), scores
 
 

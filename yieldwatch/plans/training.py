@@ -157,7 +157,7 @@ def train_eval_classify(
 def train_eval_forecast(clean: DataFrame, test_size: float = 0.2, output: str | None = None) -> Forecast:
     """Both forecasts for every series of a clean daily calendar, all series in one plan."""
     cuts = settle(split_dates(clean, ["series_id"], "date", test_size))
-    marked = join_summary(clean, cuts, ["series_id"], "left")
+    marked = join_summary(clean, cuts, ["series_id"], "left", stored=True)
     is_test = F.coalesce(F.col("date") >= F.col("cutoff"), F.lit(False))
     train = marked.filter(~is_test).select("series_id", "date", "value")
     test = marked.filter(is_test).select("series_id", "date", F.col("value").alias("actual"))
