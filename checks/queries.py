@@ -13,7 +13,7 @@ from checks import sqltext as sq
 from checks.registry import query
 from yieldwatch.functions import calendar as cal
 from yieldwatch.functions import scalars as sc
-from yieldwatch.operators import curves, drift, evaluate, features, grid, models, monitor, prepare, profile
+from yieldwatch.operators import audit, curves, drift, evaluate, features, grid, models, monitor, prepare, profile
 from yieldwatch.operators import reports as rp
 from yieldwatch.operators import scaling
 from yieldwatch.operators.forecast import forecast_ar, forecast_trend_season
@@ -1008,8 +1008,12 @@ def stationarity(spark, sf):
 
 @query("lookahead_audit")
 def lookahead_audit(spark, sf):
-    clean = settle(fx.rates(spark, sf))
-    return rates.audit_features(clean, datetime.date(1998, 6, 30))
+    """All features, and beside them a column scaled on all rows, which does look ahead."""
+
+    def build(rows: DataFrame) -> DataFrame:
+        return scaling.minmax_scale(features.all_features(rows, daily=True), ["value"])
+
+    return audit.lookahead_audit(settle(fx.rates(spark, sf)), build, datetime.date(1998, 6, 30))
 
 
 # --- models (smaller settings than the defaults, to keep the check short) ---------------

@@ -103,12 +103,20 @@ def drop_warmup(
     """Drop the first `rows` rows of each key by position; NULLs elsewhere stay."""
     if rows <= 0:
         return df
+    if not keys:
+        return df.filter(F.col(order) >= _date_after(df, order, rows))
     seen = row_windows(
         df, keys, order, rows, lambda w: {"_seen": F.count(F.lit(1)).over(w.rowsBetween(-rows, -1))}, daily
     )
     return seen.filter(F.col("_seen") == rows).drop("_seen")
 
 
+def _date_after(df: DataFrame, order: str, rows: int) -> Column:
+    """The date after the first `rows` dates, or NULL; a subquery over a few sorted dates."""
+    earliest = df.select(order).distinct().orderBy(order).limit(rows + 1)
+    return earliest.agg(F.when(F.count(order) > rows, F.max(order))).scalar()
+
+
 def all_features(
     df: DataFrame,
     keys: Sequence[str] = SERIES,
@@ -160,18 +168,21 @@ def feature_table(
     long = time_features(df, SERIES, order, value, lag_periods, rolling_windows, leak_free, daily)
     features = [c for c in long.columns if c not in ("series_id", order, value)]
     names = list(series.values())
+    # One struct per series keeps this at a single shuffle by date.
     wide = (
         long.replace(dict(series), subset=["series_id"])
         .groupBy(order)
         .pivot("series_id", names)
-        .agg(F.first(value).alias(value), *[F.first(c).alias(c) for c in features])
+        .agg(F.first(F.struct(value, *features), ignorenulls=True))
     )
+    max_lag = max(lag_periods, default=0)
+    if max_lag:
+        wide = wide.filter(F.col(order) >= _date_after(df, order, max_lag))
     wide = wide.select(
         order,
-        *[F.col(f"{name}_{value}").alias(name) for name in names],
-        *[f"{name}_{c}" for name in names for c in features],
+        *[F.col(f"`{name}`")[value].alias(name) for name in names],
+        *[F.col(f"`{name}`")[c].alias(f"{name}_{c}") for name in names for c in features],
     )
-    wide = drop_warmup(wide, (), order, max(lag_periods, default=0), daily)
     if include_calendar:
         wide = wide.withColumns(calendar_columns(F.col(order)))
     return wide
