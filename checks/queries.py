@@ -1023,7 +1023,7 @@ SMALL_BOOSTING = {"trees": 5, "max_depth": 4}
 
 
 def regress_rows(spark, sf):
-    prepared = prepare.prepare_ml(wide_features(spark, sf), "urgent", list(fx.SERIES.values()))
+    prepared = prepare.prepare_ml(settle(wide_features(spark, sf)), "urgent", list(fx.SERIES.values()))
     rows = settle(chrono_split(prepared, ()))
     columns = [c for c in prepared.columns if c not in ("date", "urgent")]
     return rows.filter("split = 'train'"), rows.filter("split = 'test'"), columns

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from yieldwatch.functions import scalars as sc
-from yieldwatch.operators import curves, drift, evaluate, monitor, prepare, profile, reports
+from yieldwatch.operators import curves, drift, evaluate, monitor, prefix, prepare, profile, reports
 
 
 def split_frame(spark, train, test):
@@ -243,3 +243,22 @@ def test_reports(spark):
     assert sorted(tuple(r) for r in reports.segment_share(df, "seg").collect()) == [("a", 2, 66.67), ("b", 1, 33.33)]
     balance = {(r.label, r.n): r.positive_rate_pct for r in reports.class_balance(df, ["event"]).collect()}
     assert balance.keys() == {(0, 2), (1, 1)} and balance[(1, 1)] == pytest.approx(100 / 3)
+
+
+def test_many_categories_of_one_column_are_ranked_in_many_buckets(spark):
+    names = [f"CUST_{i * 7919 % 3000:05d}" for i in range(3000)]
+    df = spark.createDataFrame([(n,) for n in names], ["c"])
+    got = {r.c: r.c_code for r in prepare.label_encode(df, ["c"], "_code").collect()}
+    assert got == {n: i for i, n in enumerate(sorted(names))}
+    assert prefix.add_bucket(df, "c").select(prefix.BUCKET).distinct().count() > 100
+
+
+def test_a_hot_key_gets_its_share_of_buckets(spark):
+    rows = spark.range(9000).select(
+        F.when(F.col("id") < 8000, "hot").otherwise("cold").alias("k"), F.rand(1).alias("x"), F.lit(1).alias("n")
+    )
+    buckets = prefix.add_bucket(rows, "x").filter("k = 'hot'").groupBy(prefix.BUCKET).count().toPandas()
+    assert len(buckets) > 100 and buckets["count"].max() < 8000 / 40
+    sums = prefix.prefix_sums(rows, ["k"], "x", ["n"]).toPandas().sort_values("x")
+    for _, g in sums.groupby("k"):
+        assert g["before_n"].tolist() == list(range(len(g))) and (g["total_n"] == len(g)).all()

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from yieldwatch.functions.scalars import null_if_nan
 from yieldwatch.operators.halo import row_windows
 
 TARGET_MODEL = ("target", "model")
@@ -62,7 +63,7 @@ def rolling_rmse(
     daily: bool = False,
 ) -> DataFrame:
     """Add `rolling_rmse` over the last `window` rows, shorter at the start."""
-    squared = df.withColumn("_squared", squared_error())
+    squared = df.withColumn("_squared", null_if_nan(squared_error()))
     return row_windows(
         squared,
         keys,

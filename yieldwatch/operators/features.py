@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from yieldwatch.functions.calendar import calendar_columns
+from yieldwatch.functions.scalars import null_if_nan
 from yieldwatch.operators.halo import row_windows
 
 LAGS = (1, 5, 10)
@@ -85,7 +86,8 @@ def time_features(
             columns["_seen"] = F.count(F.lit(1)).over(w.rowsBetween(-drop_first, -1))
         return columns
 
-    out = row_windows(df, keys, order, lookback, build, daily)
+    known = df.withColumn(value, null_if_nan(F.col(value)))
+    out = row_windows(known, keys, order, lookback, build, daily)
     if drop_first:
         out = out.filter(F.col("_seen") == drop_first).drop("_seen")
     if {7, 30} <= set(rolling_windows):

@@ -24,8 +24,9 @@ def preprocess_rates(observations: DataFrame, ts: str = "ts", leading: str = "ba
 def engineer_features(spark: SparkSession, input_path: str, output_path: str, leak_free: bool = False) -> DataFrame:
     """Read rate files, clean them, build all features, write them; returns the table."""
     clean = preprocess_rates(read_rates_csv(spark, input_path))
-    write_features(all_features(clean, leak_free=leak_free, daily=True), output_path)
-    return spark.read.parquet(output_path)
+    table = all_features(clean, leak_free=leak_free, daily=True)
+    write_features(table, output_path)
+    return spark.read.schema(table.schema).parquet(output_path)
 
 
 def wide_features(clean: DataFrame, series: Mapping[str, str], leak_free: bool = False) -> DataFrame:
