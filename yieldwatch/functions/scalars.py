@@ -94,7 +94,7 @@ def outflow_score(
     retail: str = "Retail",
 ) -> Column:
     """Outflow probability from the fixed linear score; balance must be positive."""
-    # The weights of the published outflow formula.
+    # The weights of the outflow score.
     return _logistic(
         F.lit(-2.5)
         + 1.5 * balance_volatility
@@ -114,7 +114,7 @@ def early_repayment_score(
     corporate: str = "Corporate",
 ) -> Column:
     """Early-repayment probability from the fixed linear score."""
-    # The weights of the published repayment formula.
+    # The weights of the early-repayment score.
     return _logistic(
         F.lit(-3.0)
         + 0.01 * (credit_score - 700)
