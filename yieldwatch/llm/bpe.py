@@ -18,22 +18,25 @@ from __future__ import annotations
 import base64
 import heapq
 import unicodedata
+from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from yieldwatch.llm.words import parts, text_buffer
 
 #: A vocabulary is sent to every executor, so its size is checked.
 MOST_VOCABULARY_BYTES = 64 << 20
 #: Pieces whose merges are remembered by a worker; a full cache starts anew.
-CACHED_PIECES = 400_000
+CACHED_PIECES = 300_000
 #: Longer pieces are merged with a heap.
 SHORT_PIECE = 128
 STRETCH = 128
+PART = 1 << 20
 
 # The code points of Unicode's White_Space property.
 WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -264,7 +267,7 @@ class Encoder:
         """The ids of each text as little-endian 32-bit numbers."""
         out: list[bytes] = []
         data, offsets = text_buffer(texts)
-        for low, high in parts(offsets, 1 << 20):
+        for low, high in parts(offsets, PART):
             part = data[offsets[low] : offsets[high]].tobytes().decode()
             if not part:
                 out.extend([b""] * (high - low))
@@ -286,9 +289,9 @@ class Encoder:
         return out
 
     def offsets(self, ids: bytes) -> bytes:
-        """Where each token's bytes start in the text, as little-endian 64-bit numbers."""
+        """Where each token's bytes start in the text, as little-endian 32-bit numbers."""
         sizes = self.lengths[np.frombuffer(ids, dtype="<u4")]
-        return (np.cumsum(sizes) - sizes).astype("<i8").tobytes()
+        return (np.cumsum(sizes) - sizes).astype("<u4").tobytes()
 
     def decode(self, ids: bytes, offsets: bytes) -> bytes:
         """The bytes of all tokens, each written at its offset."""
@@ -297,7 +300,7 @@ class Encoder:
             return b""
         if int(tokens.max()) >= len(self.lengths):
             raise ValueError(f"{int(tokens.max())} is not an id of this vocabulary")
-        places = np.frombuffer(offsets, dtype="<i8")
+        places = np.frombuffer(offsets, dtype="<u4").astype(np.int64)
         sizes = self.lengths[tokens]
         total = int(places[-1] + sizes[-1])
         source = np.arange(total) + np.repeat(self.begins[tokens] - places, sizes)
@@ -314,65 +317,75 @@ def _encoder(shared) -> Encoder:
     return _encoders[shared.value["key"]]
 
 
-class Vocabulary:
-    """A rank file, read once by the driver and sent to the executors."""
+def _shared_ranks(df: DataFrame, path: str):
+    """The rank file, read once by the driver (its size is checked) and sent to the executors."""
+    ranks = read_ranks(path)
+    missing = [b for b in range(256) if bytes([b]) not in ranks]
+    if missing:
+        raise ValueError(f"{path} has no token for {len(missing)} bytes")
+    return df.sparkSession.sparkContext.broadcast({"key": hash(frozenset(ranks.items())), "ranks": ranks})
 
-    def __init__(self, spark, path: str) -> None:
-        ranks = read_ranks(path)
-        missing = [b for b in range(256) if bytes([b]) not in ranks]
-        if missing:
-            raise ValueError(f"{path} has no token for {len(missing)} bytes")
-        self.shared = spark.sparkContext.broadcast({"key": hash(frozenset(ranks.items())), "ranks": ranks})
 
-    def encode(self, text: str | Column) -> Column:
-        """struct(ids, offsets, n_tokens) of a text; null is an empty text.
+def _kept(df: DataFrame, replaced: list[str]) -> DataFrame:
+    return df.select(*[c for c in df.columns if c.lower() not in {r.lower() for r in replaced}])
 
-        ids holds little-endian unsigned 32-bit numbers, offsets the byte at which each
-        token starts, as little-endian 64-bit numbers.
-        """
-        shared = self.shared
 
-        @F.arrow_udf("struct<ids:binary,offsets:binary,n_tokens:bigint>")
-        def run(texts: pa.Array) -> pa.Array:
-            encoder = _encoder(shared)
-            ids = encoder.encode(texts)
-            return pa.StructArray.from_arrays(
-                [
-                    pa.array(ids, pa.binary()),
-                    pa.array([encoder.offsets(x) for x in ids], pa.binary()),
-                    pa.array([len(x) // 4 for x in ids], pa.int64()),
-                ],
-                names=["ids", "offsets", "n_tokens"],
-            )
+def encode(
+    df: DataFrame,
+    path: str,
+    text: str = "text",
+    ids: str = "token_ids",
+    offsets: str = "token_offsets",
+    decoded: str | None = None,
+) -> DataFrame:
+    """`df` with `ids`, `offsets` and n_tokens, and in `decoded` the bytes that the ids give
+    back; columns of these names are replaced.
 
-        return run(text)
-
-    def decode(self, ids: str | Column, offsets: str | Column) -> Column:
-        """The bytes that the ids stand for; null ids give null. An id beyond the vocabulary is an error."""
-        shared = self.shared
-
-        @F.arrow_udf("binary")
-        def run(ids: pa.Array, offsets: pa.Array) -> pa.Array:
-            encoder = _encoder(shared)
-            both = zip(ids.to_pylist(), offsets.to_pylist())
-            return pa.array([None if x is None else encoder.decode(x, o) for x, o in both], pa.binary())
-
-        return run(ids, offsets)
+    ids holds little-endian unsigned 32-bit numbers, offsets the byte at which each token
+    starts, in the same form. Null and empty texts get no tokens, equal texts equal ids; a
+    text of any length is encoded whole. No shuffle, no state between rows: rows stream
+    through in parts of about a megabyte.
+    """
+    shared = _shared_ranks(df, path)
+    made = [ids, offsets, "n_tokens"] + ([decoded] if decoded else [])
+    rest = [c for c in df.columns if c.lower() not in {m.lower() for m in made}]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = _encoder(shared)
+        for batch in batches:
+            column = batch.column(batch.schema.get_field_index(text))
+            _, places = text_buffer(column)
+            for low, high in parts(places, PART):
+                coded = encoder.encode(column.slice(low, high - low))
+                starts = [encoder.offsets(x) for x in coded]
+                columns = [batch.column(name).slice(low, high - low) for name in rest]
+                columns += [pa.array(coded, pa.binary()), pa.array(starts, pa.binary())]
+                columns.append(pa.array([len(x) // 4 for x in coded], pa.int64()))
+                if decoded:
+                    columns.append(pa.array([encoder.decode(x, o) for x, o in zip(coded, starts)], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, names=rest + made)
+
+    schema = T.StructType([df.schema[c] for c in rest])
+    schema.add(ids, T.BinaryType()).add(offsets, T.BinaryType()).add("n_tokens", T.LongType())
+    if decoded:
+        schema.add(decoded, T.BinaryType())
+    return df.mapInArrow(run, schema)
 
 
-def encode(df: DataFrame, path: str, text: str = "text", ids: str = "token_ids", offsets: str = "token_offsets") -> DataFrame:
-    """`df` with the columns `ids`, `offsets` and n_tokens; columns of these names are replaced.
+def decode(df: DataFrame, path: str, ids: str = "token_ids", offsets: str = "token_offsets", out: str = "decoded") -> DataFrame:
+    """`df` with the bytes of `ids` in the column `out`, which is replaced if there.
 
-    Null and empty texts get no tokens, equal texts equal ids; any length is encoded whole.
-    No shuffle, no state between rows.
+    Null ids give null. An id beyond the vocabulary is an error.
     """
-    coded = df.withColumn("_coded", Vocabulary(df.sparkSession, path).encode(F.col(text)))
-    return coded.withColumns({ids: F.col("_coded.ids"), offsets: F.col("_coded.offsets"), "n_tokens": F.col("_coded.n_tokens")}).drop("_coded")
+    shared = _shared_ranks(df, path)
 
+    @F.arrow_udf("binary")
+    def run(ids: pa.Array, offsets: pa.Array) -> pa.Array:
+        encoder = _encoder(shared)
+        both = zip(ids.to_pylist(), offsets.to_pylist())
+        return pa.array([None if x is None else encoder.decode(x, o) for x, o in both], pa.binary())
 
-def decode(df: DataFrame, path: str, ids: str = "token_ids", offsets: str = "token_offsets", out: str = "decoded") -> DataFrame:
-    """`df` with the decoded bytes of `ids` in the column `out`."""
-    return df.withColumn(out, Vocabulary(df.sparkSession, path).decode(F.col(ids), F.col(offsets)))
+    return _kept(df, [out]).withColumn(out, run(F.col(ids), F.col(offsets)))
 
 
 def unpack_ids(ids: str | Column) -> Column:
@@ -380,6 +393,7 @@ def unpack_ids(ids: str | Column) -> Column:
 
     @F.arrow_udf("array<bigint>")
     def run(ids: pa.Array) -> pa.Array:
-        return pa.array([None if x is None else np.frombuffer(x, dtype="<u4").astype(np.int64).tolist() for x in ids.to_pylist()], pa.list_(pa.int64()))
+        unpacked = [None if x is None else np.frombuffer(x, dtype="<u4").astype(np.int64).tolist() for x in ids.to_pylist()]
+        return pa.array(unpacked, pa.list_(pa.int64()))
 
     return run(ids)

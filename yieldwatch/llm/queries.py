@@ -44,7 +44,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     from yieldwatch.llm import bpe
 
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = bpe.decode(bpe.encode(documents, vocabulary_path()), vocabulary_path())
+    coded = bpe.encode(documents, vocabulary_path(), decoded="decoded")
     return coded.select(
         "doc_id",
         "n_tokens",
@@ -143,3 +143,34 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(pii.span_list(base).cast("binary"), 256).alias("base_sha256"),
         pii.span_list(F.col("pii")).alias("spans"),
     )
+
+
+# 2 ------------------------------------------------------------------------------------
+
+
+@query("op2_centroid_language")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from yieldwatch.llm import language
+
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    documents = documents.withColumn("held_out", crc_mod(3) == 1)
+    model = language.fit(documents.filter(~F.col("held_out")))
+    found = language.predict(documents.select("doc_id", "text", "held_out"), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
+# 4 ------------------------------------------------------------------------------------
+
+
+@query("op4_quadratic_quality")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from yieldwatch.llm import quality
+    from yieldwatch.sources.scratch import settle
+
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = settle(documents.select("doc_id", crc_mod(3).alias("part"), quality.text_statistics("text").alias("statistics")))
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    model = quality.fit(rows.filter("part <> 1").join(labels, "doc_id"))
+    score = model.score_statistics("statistics")
+    scored = rows.select("doc_id", (F.col("part") == 1).alias("held_out"), score.alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
