@@ -174,3 +174,13 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     score = model.score_statistics("statistics")
     scored = rows.select("doc_id", (F.col("part") == 1).alias("held_out"), score.alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+# 5 ------------------------------------------------------------------------------------
+
+
+@query("op5_adaptive_prefix_join")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from yieldwatch.llm import jaccard
+
+    return jaccard.similarity_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
