@@ -184,3 +184,14 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     from yieldwatch.llm import jaccard
 
     return jaccard.similarity_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+# 3 ------------------------------------------------------------------------------------
+
+
+@query("op3_spaced_seeds")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from yieldwatch.llm import decontaminate
+
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.find_overlaps(documents, table(spark, sf_dir, "benchmark"))

@@ -40,7 +40,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _power(n: int) -> np.ndarray:
+def power(n: int) -> np.ndarray:
     """The first n powers of an odd constant, modulo 2**64."""
     global _powers
     if len(_powers) < n:
@@ -111,7 +111,7 @@ def split_words(data: np.ndarray, offsets: np.ndarray) -> Words:
     lengths = ends - starts
     begin = np.cumsum(lengths) - lengths
     place = np.arange(int(lengths.sum())) - np.repeat(begin, lengths)
-    values = _BYTE[low[inside]] * _power(int(lengths.max()))[place]
+    values = _BYTE[low[inside]] * power(int(lengths.max()))[place]
     hashes = mix(np.add.reduceat(values, begin) + lengths.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
     hashes[hashes <= END] += np.uint64(2)
     return Words(hashes, np.searchsorted(starts, offsets), starts, ends)
@@ -137,9 +137,9 @@ def shingles_of(words: Words, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarr
     start = np.arange(offsets[-1]) - np.repeat(offsets[:-1] - words.offsets[:-1], runs)
     held = np.repeat(np.minimum(counts, size), runs)
     total = held.astype(np.uint64) * np.uint64(0xA0761D6478BD642F)
-    power = _power(size + 1)
+    powers = power(size + 1)
     last = len(words.hashes) - 1
     for k in range(size):
-        word = words.hashes[np.minimum(start + k, last)] * power[k + 1]
+        word = words.hashes[np.minimum(start + k, last)] * powers[k + 1]
         total += np.where(held > k, word, np.uint64(0))
     return mix(total), offsets
