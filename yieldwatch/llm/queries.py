@@ -195,3 +195,14 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontaminate.find_overlaps(documents, table(spark, sf_dir, "benchmark"))
+
+
+# 8 ------------------------------------------------------------------------------------
+
+
+@query("op8_multi_index_hashing")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from yieldwatch.llm import hamming
+
+    embeddings = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return hamming.nearest_neighbours(embeddings, F.col("vec_id") % 20 == 0, k=20)
