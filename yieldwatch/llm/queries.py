@@ -206,3 +206,16 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     embeddings = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return hamming.nearest_neighbours(embeddings, F.col("vec_id") % 20 == 0, k=20)
+
+
+# 1 ------------------------------------------------------------------------------------
+
+
+@query("op1_backoff_automaton")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from yieldwatch.llm import scoring
+
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = documents.withColumn("held_out", crc_mod(5) == 1)
+    scored = scoring.score_texts(documents, ~F.col("held_out"), keys=("doc_id", "held_out"))
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
