@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from yieldwatch.llm.columns import without
 from yieldwatch.llm.words import parts, text_buffer
 
 #: A vocabulary is sent to every executor, so its size is checked.
@@ -326,10 +327,6 @@ def _shared_ranks(df: DataFrame, path: str):
     return df.sparkSession.sparkContext.broadcast({"key": hash(frozenset(ranks.items())), "ranks": ranks})
 
 
-def _kept(df: DataFrame, replaced: list[str]) -> DataFrame:
-    return df.select(*[c for c in df.columns if c.lower() not in {r.lower() for r in replaced}])
-
-
 def encode(
     df: DataFrame,
     path: str,
@@ -348,7 +345,7 @@ def encode(
     """
     shared = _shared_ranks(df, path)
     made = [ids, offsets, "n_tokens"] + ([decoded] if decoded else [])
-    rest = [c for c in df.columns if c.lower() not in {m.lower() for m in made}]
+    rest = without(df, made)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared)
@@ -385,7 +382,7 @@ def decode(df: DataFrame, path: str, ids: str = "token_ids", offsets: str = "tok
         both = zip(ids.to_pylist(), offsets.to_pylist())
         return pa.array([None if x is None else encoder.decode(x, o) for x, o in both], pa.binary())
 
-    return _kept(df, [out]).withColumn(out, run(F.col(ids), F.col(offsets)))
+    return df.select(*without(df, [out]), run(F.col(ids), F.col(offsets)).alias(out))
 
 
 def unpack_ids(ids: str | Column) -> Column:

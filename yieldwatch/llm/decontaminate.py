@@ -13,11 +13,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from yieldwatch.llm import bloom
+from yieldwatch.llm.columns import free_name
 from yieldwatch.llm.jaccard import small_batches
 from yieldwatch.llm.words import Words, mix, power, words_of
 from yieldwatch.sources.scratch import settle
@@ -194,20 +195,8 @@ def _verify(text: pa.Array, item: pa.Array, shift: pa.Array) -> pa.Array:
     )
 
 
-def find_overlaps(
-    df: DataFrame,
-    benchmark: DataFrame,
-    text: str = "text",
-    key: str = "doc_id",
-    item_text: str = "text",
-    item_key: str = "item_id",
-) -> DataFrame:
-    """(key, contaminated, item, score, matched, first_word, last_word) for every row of `df`.
-
-    The item with the best score stands for all (ties: the smaller key); nulls where there is
-    no overlap of the needed score. Null and empty texts, and items of fewer than SHORTEST
-    words, overlap with nothing. Items and texts may be repeated. Runs jobs.
-    """
+def _verdicts(df: DataFrame, benchmark: DataFrame, text: str, key: str, item_text: str, item_key: str) -> tuple[DataFrame, DataFrame]:
+    """The stored scan, and a stored (name, best) of the contaminated texts."""
     spark = df.sparkSession
     with small_batches(spark):
         items = item_table(benchmark, item_text, item_key)
@@ -228,7 +217,24 @@ def find_overlaps(
         best = F.struct("r.score", F.col("item_key"), "r.matched", "r.first", "r.last")
         # The best score; of equal ones the smallest key.
         order = F.struct((-F.col("r.score")).alias("s"), F.col("item_key"), F.col("r.first"))
-        verdicts = settle(checked.groupBy("name").agg(F.min_by(best, order).alias("best")))
+        return scanned, settle(checked.groupBy("name").agg(F.min_by(best, order).alias("best")))
+
+
+def find_overlaps(
+    df: DataFrame,
+    benchmark: DataFrame,
+    text: str = "text",
+    key: str = "doc_id",
+    item_text: str = "text",
+    item_key: str = "item_id",
+) -> DataFrame:
+    """(key, contaminated, item, score, matched, first_word, last_word) for every row of `df`.
+
+    The item with the best score stands for all (ties: the smaller key); nulls where there is
+    no overlap of the needed score. Null and empty texts, and items of fewer than SHORTEST
+    words, overlap with nothing. Items and texts may be repeated. Runs jobs.
+    """
+    scanned, verdicts = _verdicts(df, benchmark, text, key, item_text, item_key)
     rows = scanned.filter(F.col("tokens").isNull()).select("key", "name")
     return rows.join(verdicts, "name", "left").select(
         F.col("key").alias(key),
@@ -239,3 +245,28 @@ def find_overlaps(
         F.col("best.first").alias("first_word"),
         F.col("best.last").alias("last_word"),
     )
+
+
+def text_name(text: str | Column) -> Column:
+    """Equal for texts with the same words in the same order; 0 without words."""
+
+    def run(texts: pa.Array) -> pa.Array:
+        names = [text_names(words) for _, _, words in words_of(texts)]
+        return pa.array(np.concatenate(names + [np.zeros(0, dtype=np.int64)]), pa.int64())
+
+    return F.arrow_udf(run, "bigint")(text)
+
+
+def drop_contaminated(
+    df: DataFrame,
+    benchmark: DataFrame,
+    text: str = "text",
+    key: str = "doc_id",
+    item_text: str = "text",
+    item_key: str = "item_id",
+) -> DataFrame:
+    """The rows of `df` whose text overlaps with no item, with all their columns."""
+    _, verdicts = _verdicts(df, benchmark, text, key, item_text, item_key)
+    name = free_name(df, "_name")
+    bad = verdicts.select(F.col("name").alias(name))
+    return df.withColumn(name, text_name(F.col(text))).join(bad, name, "left_anti").select(*df.columns)

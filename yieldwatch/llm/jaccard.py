@@ -22,11 +22,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from yieldwatch.llm import bloom
+from yieldwatch.llm.columns import free_name
 from yieldwatch.llm.components import connected_components
 from yieldwatch.llm.words import mix, shingles_of, words_of
 from yieldwatch.sources.scratch import settle
@@ -363,16 +364,17 @@ def linked_classes(lists: DataFrame, sets: DataFrame) -> DataFrame:
     return roots
 
 
-def similarity_components(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(key, n_shingles, component_id) for every row of `df`.
+def text_class(text: str | Column) -> Column:
+    """The class of a text: equal for equal sets of shingles, 0 for a text without words."""
 
-    component_id is the smallest key reachable by links, the row's own included. A null or
-    empty text, or one without words, has no shingles and links with nothing; a text with
-    one to four words is one shingle. Equal texts, and other texts with equal sets, are in
-    one component; rows with a null key take part, their own component may be null.
-    Repeated rows stay repeated. No rows give no rows. Runs jobs; what they keep goes to the
-    shared folder. Sets are named by 64-bit hashes of 64-bit shingle hashes.
-    """
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array(np.concatenate([c for *_, c in _sets(texts)] + [np.zeros(0, dtype=np.int64)]), pa.int64())
+
+    return F.arrow_udf(run, "bigint")(text)
+
+
+def _classes(df: DataFrame, text: str, key: str) -> tuple[DataFrame, DataFrame]:
+    """The rows (key, n_shingles, class), and a stored (class, root, least key)."""
     spark = df.sparkSession
     with small_batches(spark):
         described = describe(df, text, key)
@@ -386,7 +388,20 @@ def similarity_components(df: DataFrame, text: str = "text", key: str = "doc_id"
         roots = linked_classes(lists, sets)
     least = rows.filter("n_shingles > 0").groupBy("class").agg(F.min("key").alias("least"))
     grouped = least.join(roots.select(F.col("node").alias("class"), "root"), "class", "left")
-    grouped = settle(grouped.select("class", "least", F.coalesce("root", "class").alias("root")))
+    return rows, settle(grouped.select("class", "least", F.coalesce("root", "class").alias("root")))
+
+
+def similarity_components(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """(key, n_shingles, component_id) for every row of `df`.
+
+    component_id is the smallest key reachable by links, the row's own included. A null or
+    empty text, or one without words, has no shingles and links with nothing; a text with
+    one to four words is one shingle. Equal texts, and other texts with equal sets, are in
+    one component; rows with a null key take part, their own component may be null.
+    Repeated rows stay repeated. No rows give no rows. Runs jobs; what they keep goes to the
+    shared folder. Sets are named by 64-bit hashes of 64-bit shingle hashes.
+    """
+    rows, grouped = _classes(df, text, key)
     smallest = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
     by_class = settle(grouped.join(smallest, "root").select("class", "component_id"))
     return rows.join(by_class, "class", "left").select(
@@ -394,3 +409,22 @@ def similarity_components(df: DataFrame, text: str = "text", key: str = "doc_id"
         "n_shingles",
         F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("key")).alias("component_id"),
     )
+
+
+def keep_one(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """The rows of `df` without near-duplicates: of each component one row stays, that with
+    the smallest key (a null key only where all are null). Texts without words all stay. All
+    columns are kept, whatever their names; an equal row that is repeated stays once.
+    """
+    rows, grouped = _classes(df, text, key)
+    order = F.struct(F.col("least").isNull().alias("none"), F.col("least"), F.col("class"))
+    first = grouped.groupBy("root").agg(F.min(order).alias("f"))
+    kept = settle(first.select(F.col("f.class").alias("_class"), F.col("f.least").alias("_key")))
+    name, again = free_name(df, "_class"), free_name(df, "_again")
+    named = df.withColumn(name, text_class(F.col(text)))
+    bare = named.filter(F.col(name) == 0)
+    same = (F.col(f"d.{name}") == F.col("k._class")) & F.col(f"d.{key}").eqNullSafe(F.col("k._key"))
+    chosen = named.filter(F.col(name) != 0).alias("d").join(kept.alias("k"), same, "left_semi")
+    repeats = Window.partitionBy(name, key).orderBy(text)
+    once = chosen.withColumn(again, F.row_number().over(repeats)).filter(F.col(again) == 1)
+    return once.select(*df.columns).unionByName(bare.select(*df.columns))

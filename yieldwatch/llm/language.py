@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from yieldwatch.llm.columns import free_name, without
 from yieldwatch.llm.words import parts, text_buffer
 from yieldwatch.sources.scratch import settle
 
@@ -194,11 +195,11 @@ def predict(df: DataFrame, model: Centroids, text: str = "text") -> DataFrame:
         return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores), pa.array(rejected)], names=["lang", "score", "rejected"])
 
     has_letter = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
-    named = df.withColumns({"_found": run(F.col(text)), "_letter": has_letter})
-    return named.withColumns(
-        {
-            "lang_pred": F.when(F.col("_letter"), F.col("_found.lang")).otherwise(UNKNOWN),
-            "score": F.when(F.col("_letter"), F.col("_found.score")).otherwise(0.0),
-            "rejected": F.when(F.col("_letter"), F.col("_found.rejected")).otherwise(True),
-        }
-    ).drop("_found", "_letter")
+    found, letter = free_name(df, "_found"), free_name(df, "_letter")
+    named = df.withColumns({found: run(F.col(text)), letter: has_letter})
+    return named.select(
+        *without(df, ["lang_pred", "score", "rejected"]),
+        F.when(F.col(letter), F.col(found)["lang"]).otherwise(UNKNOWN).alias("lang_pred"),
+        F.when(F.col(letter), F.col(found)["score"]).otherwise(0.0).alias("score"),
+        F.when(F.col(letter), F.col(found)["rejected"]).otherwise(True).alias("rejected"),
+    )

@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from yieldwatch.llm.columns import free_name, without
+
 CONTEXT = 40  # code points looked at on either side
 KEEP = 0.5  # spans of the kinds that are not always kept need this score
 
@@ -109,14 +111,6 @@ def _running(values: Column) -> Column:
     )
 
 
-def _name(df: DataFrame, name: str) -> str:
-    """A column name that `df` does not have."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name = "_" + name
-    return name
-
-
 def find(df: DataFrame, text: str = "text", out: str = "pii") -> DataFrame:
     """`df` with `out`: array of struct(kind, start, end, score, checked), by kind and start.
 
@@ -124,8 +118,8 @@ def find(df: DataFrame, text: str = "text", out: str = "pii") -> DataFrame:
     span. Spans of one kind never overlap; those of different kinds may. A null or empty
     text has none; a column named `out` is replaced. No shuffle, no Python.
     """
-    work = _name(df, "_work")
-    columns = [c for c in df.columns if c.lower() != out.lower()]
+    work = free_name(df, "_work")
+    columns = without(df, [out])
     content = F.coalesce(F.col(text), F.lit(""))
 
     def cut(kind: Kind) -> Column:
@@ -197,7 +191,7 @@ def mask(df: DataFrame, text: str = "text", spans: str = "pii") -> DataFrame:
         return F.when(overlaps, F.concat(F.slice(merged, F.lit(1), F.size(merged) - 1), F.array(wider))).otherwise(F.concat(merged, F.array(span)))
 
     none = F.array().cast("array<struct<start:int,end:int,kind:string>>")
-    merged = _name(df, "_merged")
+    merged = free_name(df, "_merged")
     staged = df.withColumn(merged, F.when(F.size(spans) > 0, F.aggregate(ordered, none, join)).otherwise(none))
     ends = F.concat(F.array(F.lit(0)), F.transform(F.col(merged), lambda s: s["end"]))
     kept = F.zip_with(

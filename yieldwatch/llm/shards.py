@@ -14,6 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from yieldwatch.llm.columns import free_name, without
 from yieldwatch.sources.scratch import settle
 
 ROUNDS = 6
@@ -79,15 +80,15 @@ def number_rows(df: DataFrame, keys: list[str], rows: int, out: str) -> DataFram
     buckets = 1
     while buckets < MOST_BUCKETS and buckets * ROWS_IN_BUCKET < rows:
         buckets *= 2
-    spread = df.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
-    sizes = spread.groupBy("_bucket").agg(F.count("*").alias("_size"))
+    bucket, offset, inside = (free_name(df, n) for n in ("_bucket", "_offset", "_inside"))
+    spread = df.withColumn(bucket, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+    sizes = spread.groupBy(bucket).agg(F.count("*").alias(offset))
     # One row per bucket, MOST_BUCKETS at most.
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
-    inside = Window.partitionBy("_bucket").orderBy(*keys)
-    numbered = spread.withColumn("_inside", F.row_number().over(inside) - 1)
-    joined = numbered.join(offsets, "_bucket")
-    return joined.select(*df.columns, (F.col("_offset") + F.col("_inside")).alias(out))
+    before = Window.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(bucket, F.coalesce(F.sum(offset).over(before), F.lit(0)).alias(offset))
+    within = Window.partitionBy(bucket).orderBy(*keys)
+    joined = spread.withColumn(inside, F.row_number().over(within) - 1).join(offsets, bucket)
+    return joined.select(*without(df, [out]), (F.col(offset) + F.col(inside)).alias(out))
 
 
 def assign_shards(df: DataFrame, keys: list[str], shards: int, seed: int = 0, stored: bool = False) -> DataFrame:
@@ -95,10 +96,11 @@ def assign_shards(df: DataFrame, keys: list[str], shards: int, seed: int = 0, st
 
     Shard sizes differ by one row at most and slots have no gaps. The same rows, shards and
     seed give the same result whatever the partitions. Keys may be null or repeated; no rows
-    give no rows. Runs a job that counts the rows; `df` is written to the shared folder
-    first, unless `stored` says that it reads a table. Carry narrow columns: they are shuffled once.
+    give no rows; columns of the new names are replaced. Runs a job that counts the rows;
+    `df` is written to the shared folder first, unless `stored` says that it reads a table. Carry narrow columns: they are shuffled once.
     """
-    df = df if stored else settle(df)
+    made = ["row_number", "position", "shard", "slot"]
+    df = df if stored else settle(df.select(*without(df, made)))
     rows = df.count()
     order = Permutation(rows, seed)
     numbered = number_rows(df, keys, rows, "row_number")

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from yieldwatch.llm.columns import free_name, without
 from yieldwatch.llm.components import connected_components
 from yieldwatch.sources.scratch import settle
 
@@ -79,6 +80,7 @@ def match_rules(df: DataFrame, rules: DataFrame, host: str = "host", path: str =
     the longer host, then allow. Rules are joined to distinct hosts, so a host with very
     many rows costs one join row; the join back to the rows is free of hints, AQE splits it.
     """
+    own, fitting_rules, chosen_rule = (free_name(df, n) for n in ("_host", "_rules", "_best"))
     hosts = df.select(F.col(host).alias("_host")).distinct().filter(F.col("_host") != "")
     labels = F.split("_host", r"\.")
     tails = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
@@ -91,11 +93,12 @@ def match_rules(df: DataFrame, rules: DataFrame, host: str = "host", path: str =
         F.col("verdict").alias("verdict"),
     )
     fitting = hosts.withColumn("rule_host", F.explode(tails)).join(rules, "rule_host")
-    by_host = fitting.groupBy("_host").agg(F.sort_array(F.collect_set(candidate), asc=False).alias("_rules"))
-    joined = df.join(by_host, F.col(host) == F.col("_host"), "left")
-    best = F.get(F.filter("_rules", lambda r: F.col(path).startswith(r["prefix"])), F.lit(0))
-    chosen = joined.withColumn("_best", best)
-    return chosen.select(*df.columns, F.col("_best.rule").alias("rule"), F.col("_best.verdict").alias("rule_verdict"))
+    by_host = fitting.groupBy(F.col("_host").alias(own)).agg(F.sort_array(F.collect_set(candidate), asc=False).alias(fitting_rules))
+    joined = df.join(by_host, F.col(host) == F.col(own), "left")
+    best = F.get(F.filter(fitting_rules, lambda r: F.col(path).startswith(r["prefix"])), F.lit(0))
+    chosen = joined.withColumn(chosen_rule, best)
+    rest = without(df, ["rule", "rule_verdict"])
+    return chosen.select(*rest, F.col(chosen_rule)["rule"].alias("rule"), F.col(chosen_rule)["verdict"].alias("rule_verdict"))
 
 
 def judge_urls(pages: DataFrame, rules: DataFrame, links: DataFrame | None = None, url: str = "url") -> DataFrame:
@@ -105,9 +108,14 @@ def judge_urls(pages: DataFrame, rules: DataFrame, links: DataFrame | None = Non
     or not. An address that is null or has no `://` has an empty host and path, fits no rule
     and is allowed. Repeated pages are judged alike. Runs jobs while components are found.
     """
-    made = {"host", "path", "rule", "rule_verdict", "verdict", "_key", "_root", "_allowed", "_blocked"}
-    kept = [c for c in pages.columns if c.lower() not in made]
-    rows = pages.select(*kept, host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"), alias_key(F.col(url)).alias("_key"))
+    kept = without(pages, ["host", "path", "rule", "rule_verdict", "verdict"])
+    # The caller's columns stand aside in one struct, so that none can clash.
+    rows = pages.select(
+        F.struct(*[F.col(c) for c in kept]).alias("_page"),
+        host_of(F.col(url)).alias("host"),
+        path_of(F.col(url)).alias("path"),
+        alias_key(F.col(url)).alias("_key"),
+    )
     judged = match_rules(rows, rules)
     known = judged.select("_key", "rule_verdict")
     if links is None:
@@ -134,4 +142,4 @@ def judge_urls(pages: DataFrame, rules: DataFrame, links: DataFrame | None = Non
         F.when(F.coalesce("_allowed", F.lit(False)), "allow").when(F.coalesce("_blocked", F.lit(False)), "block"),
         F.lit("allow"),
     )
-    return judged.join(classes, "_root", "left").select(*kept, "host", "path", "rule", "rule_verdict", verdict.alias("verdict"))
+    return judged.join(classes, "_root", "left").select("_page.*", "host", "path", "rule", "rule_verdict", verdict.alias("verdict"))
