@@ -250,15 +250,70 @@ def test_many_categories_of_one_column_are_ranked_in_many_buckets(spark):
     df = spark.createDataFrame([(n,) for n in names], ["c"])
     got = {r.c: r.c_code for r in prepare.label_encode(df, ["c"], "_code").collect()}
     assert got == {n: i for i, n in enumerate(sorted(names))}
-    assert prefix.add_bucket(df, "c").select(prefix.BUCKET).distinct().count() > 100
+    assert prefix.add_bucket(df, [], "c", 128).select(prefix.BUCKET).distinct().count() > 100
 
 
 def test_a_hot_key_gets_its_share_of_buckets(spark):
     rows = spark.range(9000).select(
         F.when(F.col("id") < 8000, "hot").otherwise("cold").alias("k"), F.rand(1).alias("x"), F.lit(1).alias("n")
     )
-    buckets = prefix.add_bucket(rows, "x").filter("k = 'hot'").groupBy(prefix.BUCKET).count().toPandas()
+    buckets = prefix.add_bucket(rows, ["k"], "x", 128).filter("k = 'hot'").groupBy(prefix.BUCKET).count().toPandas()
     assert len(buckets) > 100 and buckets["count"].max() < 8000 / 40
-    sums = prefix.prefix_sums(rows, ["k"], "x", ["n"]).toPandas().sort_values("x")
-    for _, g in sums.groupby("k"):
-        assert g["before_n"].tolist() == list(range(len(g))) and (g["total_n"] == len(g)).all()
+    for number in (None, 128):
+        sums = prefix.prefix_sums(rows, ["k"], "x", ["n"], buckets=number).toPandas().sort_values("x")
+        for _, g in sums.groupby("k"):
+            assert g["before_n"].tolist() == list(range(len(g))) and (g["total_n"] == len(g)).all()
+
+
+def test_keys_with_ranges_of_their_own_are_spread_alike(spark):
+    rows = spark.range(20_000).select((F.col("id") % 400).alias("k"), F.lit(1).alias("n"), "id")
+    rows = rows.withColumn("x", F.col("k") * 1000.0 + F.col("id") / 1e5)
+    buckets = prefix.add_bucket(rows, ["k"], "x", 800).groupBy("k").agg(F.countDistinct(prefix.BUCKET).alias("n"))
+    assert buckets.agg(F.avg("n")).first()[0] >= 2
+    sums = prefix.prefix_sums(rows, ["k"], "x", ["n"], buckets=800)
+    wrong = sums.filter((F.col("total_n") != 50) | (F.col("before_n") != F.floor(F.col("id") / 400)))
+    assert sums.count() == 20_000 and wrong.count() == 0
+
+
+def test_very_large_counts_do_not_overflow(spark):
+    # 4e9 rows of each class would make these counts; they are put in place of the counting.
+    counts = spark.createDataFrame([("m", 0.9, 3e9, 1e9), ("m", 0.1, 1e9, 3e9)], "model string, score double, pos double, neg double")
+    steps = prefix.prefix_sums(counts, ["model"], "score", ["pos", "neg"], descending=True)
+    real = curves.score_steps
+    curves.score_steps = lambda *a, **k: steps
+    try:
+        found = curves.ranking_metrics(counts).first()
+        assert curves.roc_auc(counts).first()["auc"] == found["auc"] == pytest.approx(0.75)
+        assert curves.average_precision(counts).first()[1] == found["average_precision"] == pytest.approx(0.75 * 0.75 + 0.25 * 0.5)
+    finally:
+        curves.score_steps = real
+
+
+def test_a_null_model_is_a_model_of_its_own(spark):
+    rows = [(m, y, s) for m in ("a", None) for y, s in ((1, 0.9), (0, 0.8), (1, 0.7), (0, 0.1))]
+    df = spark.createDataFrame(rows, "model string, label int, score double")
+    for found in (curves.roc_auc(df), curves.average_precision(df)):
+        values = {r["model"]: r[1] for r in found.collect()}
+        assert set(values) == {"a", None} and values["a"] == values[None]
+    for found in (curves.roc_curve(df), curves.roc_curve(df, drop_collinear=True), curves.pr_curve(df), curves.score_histogram(df)):
+        groups = {m: sorted(str(tuple(r)[1:]) for r in found.collect() if r["model"] == m) for m in ("a", None)}
+        assert len(groups["a"]) > 1 and groups["a"] == groups[None]
+
+
+def test_unknown_errors_are_never_best_and_no_target_is_lost(spark):
+    metrics = spark.createDataFrame(
+        [("t", "x", None, 1.0), ("t", "y", float("nan"), 1.0), ("t", "z", 2.0, 1.0), ("u", "x", None, 1.0), (None, "x", 3.0, 1.0)],
+        "target string, model string, rmse double, mae double",
+    )
+    best = {r["target"]: r["best_model"] for r in evaluate.best_baseline(metrics).collect()}
+    assert best == {"t": "z", "u": None, None: "x"}
+    base = spark.createDataFrame([("t", "z", 2.0), (None, "x", 3.0)], "target string, best_model string, rmse double")
+    out = evaluate.improvement_vs_baseline(metrics, base).collect()
+    assert len(out) == 5 and {r["improvement_pct"] for r in out if r["target"] is None} == {0.0}
+
+
+def test_an_infinite_training_value_gives_no_drift_score(spark):
+    rows = [("train", float(i), float(i)) for i in range(50)] + [("train", float("inf"), 1.0)] + [("test", 100.0 + i, 100.0 + i) for i in range(20)]
+    df = spark.createDataFrame(rows, "split string, bad double, good double")
+    got = {r["feature"]: r["psi"] for r in drift.psi(df, ["bad", "good"]).collect()}
+    assert got["bad"] is None and got["good"] > 0

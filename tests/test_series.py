@@ -11,6 +11,8 @@ from yieldwatch.functions.calendar import calendar_columns
 from yieldwatch.operators import features, grid
 from yieldwatch.operators.audit import lookahead_audit
 from yieldwatch.operators.evaluate import rolling_rmse
+from yieldwatch.operators.grid import fill_missing
+from yieldwatch.operators.halo import row_windows
 from yieldwatch.operators.joins import join_summary
 from yieldwatch.operators.scaling import minmax_scale, normalize_series
 from yieldwatch.operators.split import chrono_split, hash_split, split_dates
@@ -225,13 +227,43 @@ def test_scaling(spark):
     assert norm["zscore"].isna().tolist() == [False, False, True]
 
 
-def test_summary_join_beyond_the_broadcast_bound_gives_the_same_rows(spark):
-    rows = spark.range(1000).select((F.col("id") % 3).alias("k"), "id")
+def test_summary_joins_choose_by_size_and_keep_null_keys(spark):
+    rows = spark.range(1000).select(F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("k"), "id")
     summary = rows.groupBy("k").agg(F.sum("id").alias("s"))
-    small = join_summary(rows, summary, ["k"])
-    large = join_summary(rows, summary, ["k"], max_rows=1)
-    assert "Broadcast" in small._jdf.queryExecution().sparkPlan().toString()
-    assert sorted(small.collect()) == sorted(large.collect())
+    out = join_summary(rows, summary, ["k"])
+    assert out.count() == 1000 and out.columns == ["k", "id", "s"]
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    assert "Broadcast" in out._jdf.queryExecution().sparkPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = join_summary(rows, summary, ["k"])
+        assert "Broadcast" not in large._jdf.queryExecution().sparkPlan().toString()
+        assert sorted(large.collect(), key=str) == sorted(out.collect(), key=str)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_null_series_keep_their_rows_and_their_windows(spark):
+    days = [D(2019, 12, 20) + dt.timedelta(i) for i in range(40)]
+    rows = [(s, d, float(i) if i % 7 else None) for s in ("a", None) for i, d in enumerate(days)]
+    df = spark.createDataFrame(rows, "series_id string, date date, value double")
+    filled = fill_missing(df)
+    for out in (filled, chrono_split(df), normalize_series(df), features.time_features(filled), features.time_features(filled, daily=True)):
+        groups = {s: sorted(str(tuple(r)[1:]) for r in out.select("series_id", *sorted(set(out.columns) - {"series_id"})).collect() if r["series_id"] == s) for s in ("a", None)}
+        assert groups["a"] == groups[None] and groups["a"]
+    assert chrono_split(df).count() == 80
+
+
+def test_daily_windows_may_be_longer_than_a_year(spark):
+    rows = [("a", D(2018, 1, 1) + dt.timedelta(i), float(i)) for i in range(1200)]
+    df = spark.createDataFrame(rows, "series_id string, date date, value double")
+
+    def build(w):
+        return {"m": F.avg("value").over(w.rowsBetween(-899, 0))}
+
+    daily = row_windows(df, ["series_id"], "date", 899, build, daily=True).collect()
+    counted = row_windows(df, ["series_id"], "date", 899, build).collect()
+    assert sorted(daily) == sorted(counted) and len(daily) == 1200
 
 
 def test_audit_finds_whole_table_columns_only(spark):

@@ -75,8 +75,7 @@ def bin_counts(df: DataFrame, features: Sequence[str], split: str = "split", bin
     value, is_train = F.col("value"), F.col("is_train")
     return (
         feature_values(df, features, split)
-        .withColumn("_all", edges)
-        .withColumn("_edges", F.get("_all", F.col("position")))
+        .select("position", "is_train", "value", F.get(edges, F.col("position")).alias("_edges"))
         .select("position", "is_train", "value", _bin(value, F.col("_edges"), bins).alias("bin"))
         .groupBy("position", "bin")
         .agg(
@@ -102,7 +101,8 @@ def _psi_scores(counts: DataFrame, bins: int) -> DataFrame:
     # Fixed value: 1e-10 keeps the logarithm finite for an empty test bin.
     term = (F.col("_a") - F.col("_e")) * F.ln(F.col("_a") / F.col("_e") + 1e-10)
     return shares.groupBy("feature").agg(
-        F.sum(F.when(inside, term)).alias("drift_score"),
+        # A mean that is not finite comes from an infinite training value: there are no even bins.
+        F.when(F.abs(F.try_divide(F.sum("sum_train"), F.sum("n_train"))) < float("inf"), F.sum(F.when(inside, term))).alias("drift_score"),
         F.sum("n_train").alias("n_train"),
         F.sum("n_test").alias("n_test"),
         F.try_divide(F.sum("sum_train"), F.sum("n_train")).alias("train_mean"),
@@ -111,7 +111,8 @@ def _psi_scores(counts: DataFrame, bins: int) -> DataFrame:
 
 
 def psi(df: DataFrame, features: Sequence[str], split: str = "split", bins: int = BINS) -> DataFrame:
-    """Population stability index per feature; NULL when a side has no values.
+    """Population stability index per feature; NULL when a side has no values, or when an
+    infinite training value leaves no bins.
 
     Test values outside the training range are in no bin but stay in the divisor.
     """
@@ -126,7 +127,7 @@ def ks_statistic(df: DataFrame, features: Sequence[str], split: str = "split") -
     counts = values.groupBy("position", "value").agg(
         F.count_if("is_train").alias("n_train"), F.count_if(~F.col("is_train")).alias("n_test")
     )
-    running = prefix_sums(counts, ["position"], "value", ["n_train", "n_test"], sample=values)
+    running = prefix_sums(counts, ["position"], "value", ["n_train", "n_test"])
     below_train = F.try_divide(F.col("before_n_train") + F.col("n_train"), F.col("total_n_train"))
     below_test = F.try_divide(F.col("before_n_test") + F.col("n_test"), F.col("total_n_test"))
     stats = running.groupBy("position").agg(

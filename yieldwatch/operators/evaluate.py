@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from yieldwatch.functions.scalars import null_if_nan
 from yieldwatch.operators.halo import row_windows
+from yieldwatch.operators.joins import join_null_safe
 
 TARGET_MODEL = ("target", "model")
 # 5 % point of the Dickey-Fuller distribution with a constant.
@@ -29,8 +30,12 @@ def regression_metrics(df: DataFrame, keys: Sequence[str] = TARGET_MODEL) -> Dat
 
 
 def best_baseline(metrics: DataFrame, keys: Sequence[str] = ("target",)) -> DataFrame:
-    """The model with the lowest RMSE per target (ties: first by name)."""
-    best = F.min(F.struct("rmse", "model", "mae")).alias("_best")
+    """The model with the lowest RMSE per target (ties: first by name).
+
+    A model whose RMSE is NULL or NaN is never the best; a target with no other has NULLs.
+    """
+    known = null_if_nan(F.col("rmse")).isNotNull()
+    best = F.min(F.when(known, F.struct("rmse", "model", "mae"))).alias("_best")
     return metrics.groupBy(*keys).agg(best).select(
         *keys,
         F.col("_best.model").alias("best_model"),
@@ -42,10 +47,10 @@ def best_baseline(metrics: DataFrame, keys: Sequence[str] = ("target",)) -> Data
 def improvement_vs_baseline(
     metrics: DataFrame, baseline: DataFrame, keys: Sequence[str] = ("target",)
 ) -> DataFrame:
-    """RMSE change against the baseline, in percent of the baseline."""
+    """RMSE change against the baseline, in percent of the baseline; NULL without a baseline."""
     base = baseline.select(*keys, F.col("best_model").alias("baseline_model"), F.col("rmse").alias("baseline_rmse"))
     gain = F.try_divide(F.col("baseline_rmse") - F.col("rmse"), F.col("baseline_rmse")) * 100
-    return metrics.join(base, list(keys)).withColumn("improvement_pct", gain)
+    return join_null_safe(metrics, base, list(keys), "left").withColumn("improvement_pct", gain)
 
 
 def best_auc_gate(metrics: DataFrame, keys: Sequence[str] = (), threshold: float = 0.75) -> DataFrame:

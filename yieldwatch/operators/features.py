@@ -152,6 +152,13 @@ def align_series(df: DataFrame, series: Sequence[str], order: str = "date", valu
     return df.groupBy(order).pivot("series_id", list(series)).agg(F.first(value))
 
 
+def long_series(wide: DataFrame, series: Sequence[str] | None = None, order: str = "date") -> DataFrame:
+    """(series_id, date, value) of the named columns, or of all 64-bit numeric ones."""
+    names = list(series) if series is not None else numeric_columns(wide, [order])
+    cells = [F.struct(F.lit(n).alias("series_id"), F.col(f"`{n}`").cast("double").alias("value")) for n in names]
+    return wide.select(order, F.explode(F.array(*cells)).alias("_c")).select("_c.series_id", order, "_c.value")
+
+
 def feature_table(
     df: DataFrame,
     series: Mapping[str, str],

@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from yieldwatch.functions.calendar import is_business_day
 from yieldwatch.functions.scalars import null_if_nan
 from yieldwatch.operators.halo import CHUNK, chunk_of
+from yieldwatch.operators.joins import join_null_safe
 
 
 def uniform_calendar(
@@ -97,12 +99,12 @@ def fill_missing(
     if leading == "backfill":
         sources.append(F.col("_first"))
     filled = F.coalesce(*sources).alias(value)
-    return running.join(per_chunk, cell).select(*[filled if c == value else F.col(c) for c in df.columns])
+    return join_null_safe(running, per_chunk, cell).select(*[filled if c == value else F.col(c) for c in df.columns])
 
 
 def business_days(df: DataFrame, order: str = "date") -> DataFrame:
     """Monday to Friday only."""
-    return df.filter(F.weekday(order) < 5)
+    return df.filter(is_business_day(F.col(order)))
 
 
 def date_key_check(df: DataFrame, keys: Sequence[str] = ("series_id",), order: str = "date") -> DataFrame:

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from yieldwatch.operators.joins import join_null_safe
+
 CHUNK = "_chunk"
 HALO = "_halo"
 
@@ -47,10 +49,8 @@ def row_windows(
 
 
 def _daily_halo(df: DataFrame, order: str, lookback: int) -> DataFrame:
-    if not 0 <= lookback <= 365:
-        raise ValueError("a daily halo reaches back at most 365 rows")
     own = F.year(order)
-    seen_from = F.array_distinct(F.array(own, F.year(F.date_add(order, lookback))))
+    seen_from = F.sequence(own, F.year(F.date_add(order, lookback)))
     return df.withColumn(CHUNK, F.explode(seen_from)).withColumn(HALO, F.col(CHUNK) != own)
 
 
@@ -81,7 +81,7 @@ def _counted_halo(df: DataFrame, keys: list[str], order: str, lookback: int) ->
     tails = rows.withColumn("_from_end", from_end).filter(F.col("_from_end") <= lookback)
     position = F.col("_end") - F.col("_from_end")  # 0-based within the key
     copies = (
-        tails.join(per_chunk, cell)
+        join_null_safe(tails, per_chunk, cell)
         .withColumn("_to", F.explode(F.filter("_later", lambda later: later["_start"] - position <= lookback)))
         .select(*df.columns, F.col(f"_to.{CHUNK}").alias(CHUNK), F.lit(True).alias(HALO))
     )

@@ -1,47 +1,33 @@
 """Running totals over a global order, without one task per key.
 
-Rows are put into ordered buckets, summed per bucket, and the totals of the earlier buckets
-are added to a running sum inside each bucket. The bucket edges come from a sample of the
-values, so that a hot key gets its share of buckets; they only spread the work, the sums
-are exact whatever the edges.
+Rows are dealt into ranges of (keys, order), summed per range, and the totals of the earlier
+ranges are added to a running sum inside each range. Spark draws the ranges from a sample, as
+many as the data and the number of shuffle partitions ask for, so a hot key gets its share;
+they only spread the work, the sums are exact whatever the ranges.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-BUCKET = "_bucket"
-
-
-def bucket_edges(sample: DataFrame, order: str, edges: int) -> Column:
-    """At most `edges` values that cut `order` into about equal parts, as a subquery.
+from yieldwatch.operators.joins import join_null_safe
+from yieldwatch.sources.scratch import settle
 
-    Numbers give approximate quantiles, from sketches merged over the tasks. Text gives the
-    values with the lowest hashes, which is a random choice that every run repeats.
-    """
-    if isinstance(sample.schema[order].dataType, T.StringType):
-        chosen = sample.select(order).orderBy(F.xxhash64(order), order).limit(edges)
-        return chosen.agg(F.sort_array(F.collect_list(order))).scalar()
-    fractions = [i / (edges + 1) for i in range(1, edges + 1)]
-    return sample.agg(F.percentile_approx(order, fractions, 10 * edges)).scalar()
+BUCKET = "_bucket"
 
 
-def add_bucket(df: DataFrame, order: str, levels: int = 7, sample: DataFrame | None = None) -> DataFrame:
-    """Add the number of edges below the value: at most 2**levels buckets.
+def add_bucket(df: DataFrame, keys: Sequence[str], order: str, buckets: int | None = None) -> DataFrame:
+    """Add the number of the row's range: it rises with `order` within each key.
 
-    A binary search of `levels` comparisons finds the bucket of a row.
+    Rows with equal keys and order are in one range. Without `buckets`, there are as many as
+    shuffle partitions, or fewer where AQE finds that the data need less. Runs a job: the rows
+    are written to the shared folder, so that every later reader sees the same ranges.
     """
-    edges = bucket_edges(df if sample is None else sample, order, 2**levels - 1)
-    out = df.withColumn("_edges", edges).withColumn(BUCKET, F.lit(0))
-    for level in reversed(range(levels)):
-        half = 2**level
-        passed = F.get("_edges", F.col(BUCKET) + half - 1) < F.col(order)
-        out = out.withColumn(BUCKET, F.col(BUCKET) + F.when(passed, half).otherwise(0))
-    return out.drop("_edges")
+    dealt = df.repartitionByRange(*([buckets] if buckets else []), *keys, order)
+    return settle(dealt.withColumn(BUCKET, F.spark_partition_id()))
 
 
 def prefix_sums(
@@ -50,19 +36,17 @@ def prefix_sums(
     order: str,
     sums: Sequence[str],
     descending: bool = False,
-    levels: int = 7,
-    sample: DataFrame | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Add `before_x` (sum of x over earlier rows of the key) and `total_x` for each x.
 
-    One row per (keys, order). `sample` may give the rows the bucket edges are taken from,
-    where reading them is cheaper than computing `df` once more.
+    One row per (keys, order). Rows with a NULL key are a group of their own.
     """
     keys = list(keys)
-    bucketed = add_bucket(df, order, levels, sample)
+    bucketed = add_bucket(df, keys, order, buckets)
     way = F.desc if descending else F.asc
 
-    # One row per key and bucket from here on.
+    # One row per key and range from here on.
     in_order = Window.partitionBy(*keys).orderBy(way(BUCKET)).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*keys)
     totals = bucketed.groupBy(*keys, BUCKET).agg(*[F.sum(x).alias(f"_sum_{x}") for x in sums])
@@ -75,7 +59,7 @@ def prefix_sums(
 
     inside = Window.partitionBy(*keys, BUCKET).orderBy(way(order)).rowsBetween(Window.unboundedPreceding, -1)
     running = bucketed.select("*", *[F.sum(x).over(inside).alias(f"_inside_{x}") for x in sums])
-    joined = running.join(totals, [*keys, BUCKET])
+    joined = join_null_safe(running, totals, [*keys, BUCKET])
     return joined.select(
         *df.columns,
         *[

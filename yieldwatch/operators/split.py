@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from yieldwatch.operators.halo import CHUNK, chunk_of
-from yieldwatch.operators.joins import join_summary
+from yieldwatch.operators.joins import join_null_safe, join_summary
 
 
 def split_dates(
@@ -33,20 +33,23 @@ def split_dates(
     cut = counted.filter(
         (F.col("n_train") >= F.col("_end") - F.col("_n")) & (F.col("n_train") < F.col("_end"))
     ).select(*cell, (F.col("n_train") - F.col("_end") + F.col("_n") + 1).alias("_rank"))
-    ranked = rows.join(cut, cell).withColumn(
+    ranked = join_null_safe(rows, cut, cell).withColumn(
         "_row", F.row_number().over(Window.partitionBy(*cell).orderBy(order))
     )
     first_test = ranked.filter(F.col("_row") == F.col("_rank")).select(*keys, F.col(order).alias("cutoff"))
     sizes = counted.groupBy(*keys).agg(F.max("n_train").alias("n_train"), F.max("n_rows").alias("n_rows"))
     if not keys:
         return sizes.withColumn("cutoff", first_test.scalar())
-    return sizes.join(first_test, keys, "left")
+    return join_null_safe(sizes, first_test, keys, "left")
 
 
 def chrono_split(
     df: DataFrame, keys: Sequence[str] = ("series_id",), order: str = "date", test_size: float = 0.2
 ) -> DataFrame:
-    """Add `split`: 'train' for the first int(n * (1 - test_size)) rows by date, else 'test'."""
+    """Add `split`: 'train' for the first int(n * (1 - test_size)) rows by date, else 'test'.
+
+    With keys, a job stores the cut of each key.
+    """
     cuts = split_dates(df, keys, order, test_size)
     if keys:
         rows = join_summary(df, cuts.select(*keys, F.col("cutoff").alias("_cutoff")), keys)
