@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from checks import fixtures as fx
-from yieldwatch.operators import forecast, grid, models
+from yieldwatch.operators import features, forecast, grid, models
 from yieldwatch.operators.split import chrono_split
 from yieldwatch.plans import monitoring, rates, training
-from yieldwatch.sources import readers, tables, writers
+from yieldwatch.sources import readers, scratch, tables, writers
 from yieldwatch.sources.scratch import scratch_path
 
 D = dt.date
@@ -114,6 +114,8 @@ def test_ar_moments_equal_direct_least_squares(spark):
     x = rng.normal(size=800).cumsum() + 100
     row = forecast.ar_moments(daily(spark, s=x)).first()
     p, d, constant, weights = forecast._fit_ar(np.asarray(row["moments"]))
+    assert row["centre"] == pytest.approx(x.mean())
+    x = x - row["centre"]
     z = np.diff(x, n=d) if d else x
     n = row["moments"][0]
     y = z[-int(n):]
@@ -235,3 +237,63 @@ def test_entry_runs(spark):
 def test_every_oracle_belongs_to_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert len(entry.queries()) > 95
+
+
+def test_columns_are_read_by_name(spark, tmp_path):
+    write(tmp_path / "wide.csv", "extra,DFF,date,DGS10\nx,1.5,2020-01-02,2.5\n")
+    got = readers.read_wide_rates_csv(spark, str(tmp_path / "wide.csv"), ["DGS10", "DFF"]).collect()
+    assert sorted(tuple(r) for r in got) == [("DFF", D(2020, 1, 2), 1.5), ("DGS10", D(2020, 1, 2), 2.5)]
+    with pytest.raises(ValueError, match="DGS30"):
+        readers.read_wide_rates_csv(spark, str(tmp_path / "wide.csv"), ["DGS30"])
+    names = [c.split()[0] for c in readers.BEHAVIORAL_SCHEMA.split(", ")]
+    values = {n: "1" for n in names} | {"outflow_event": "1", "early_repayment_event": "0", "date": "2020-01-02 00:00:00", "customer_id": "c", "credit_score": "NaN"}
+    order = names[::-1] + ["more"]
+    write(tmp_path / "customers.csv", ",".join(order) + "\n" + ",".join(values.get(n, "9") for n in order) + "\n")
+    row = readers.read_behavioral_csv(spark, str(tmp_path / "customers.csv")).first()
+    assert row.asDict().keys() == set(names)
+    assert (row["outflow_event"], row["early_repayment_event"], row["customer_id"], row["credit_score"]) == (1, 0, "c", None)
+
+
+def test_numeric_columns_are_the_default_series(spark):
+    wide = spark.createDataFrame([(D(2020, 1, 1), 1.0, 2, "x")], "date date, a double, b bigint, c string")
+    assert sorted(tuple(r) for r in features.long_series(wide).collect()) == [("a", D(2020, 1, 1), 1.0), ("b", D(2020, 1, 1), 2.0)]
+    assert features.long_series(wide, ["b"]).count() == 1
+
+
+def test_the_model_order_does_not_depend_on_the_level(spark):
+    rng = np.random.default_rng(21)
+    noise, x = rng.normal(scale=0.01, size=3000), np.zeros(3000)
+    for i in range(1, 3000):
+        x[i] = 0.5 * x[i - 1] + noise[i]
+    levels = {f"l{int(level)}": x + level for level in (0, 1000, 1e6)}
+    got = forecast.forecast_ar(daily(spark, **levels), horizons(spark, **{k: 1 for k in levels}), daily=True).collect()
+    assert {(r["p"], r["d"]) for r in got} == {(1, 0)}
+    for r in got:
+        assert r["predicted"] - levels[r["series_id"]][-1] == pytest.approx(-0.5 * x[-1], abs=2e-3)
+
+
+def test_unknown_values_leave_gaps_and_not_nulls(spark):
+    rng = np.random.default_rng(22)
+    rows = [("a", D(2018, 1, 1) + dt.timedelta(i), None if i % 50 == 49 else float(v)) for i, v in enumerate(rng.normal(5, 1, 600))]
+    df = spark.createDataFrame(rows, "series_id string, date date, value double")
+    got = forecast.forecast_ar(df, horizons(spark, a=3), daily=True).collect()
+    assert len(got) == 3 and all(abs(r["predicted"] - 5) < 2 for r in got)
+
+
+def test_intermediate_tables_need_a_shared_folder_off_local_mode(spark, monkeypatch):
+    class Context:
+        master, applicationId = "spark://somewhere:7077", "app"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch.shared_dir(Session())
+    scratch.settle(spark.range(3))
+    assert scratch.clean_up(spark)

@@ -7,18 +7,22 @@ the rows of a series.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from yieldwatch.operators.halo import CHUNK, chunk_of, row_windows
+from yieldwatch.functions.scalars import null_if_nan
+from yieldwatch.operators.halo import row_windows
+from yieldwatch.operators.joins import join_null_safe, join_summary
 
 MAX_P, MAX_D = 5, 2
 _LOOKBACK = MAX_P + MAX_D
 STEP_BLOCK = 10_000
+MOST_HELD = 1_000  # series whose sums a task holds at once
 
 YEAR, WEEK = 365.25, 7.0
 YEARLY_TERMS, WEEKLY_TERMS = 10, 3
@@ -31,10 +35,12 @@ _ORIGIN = "2000-01-01"
 def ar_moments(
     train: DataFrame, key: str = "series_id", order: str = "date", value: str = "value", daily: bool = False
 ) -> DataFrame:
-    """Per series: all products of (1, previous value, this change, 6 earlier changes).
+    """Per series: all products of (1, previous value, this change, 6 earlier changes), and the
+    mean that is subtracted from the values, which keeps the sums free of cancellation.
 
     Every AR(p <= 5) model on the values, changes or changes of changes is a linear map of
-    these, so one pass serves all of them, on the same rows.
+    these, so one pass serves all of them, on the same rows: those whose values and
+    earlier values are all known.
     """
 
     def build(w) -> dict[str, Column]:
@@ -43,29 +49,33 @@ def ar_moments(
 
         return {"_u1": back(1), **{f"_u{k + 2}": back(k) - back(k + 1) for k in range(_LOOKBACK)}}
 
-    rows = row_windows(train.select(key, order, value), [key], order, _LOOKBACK, build, daily)
+    means = train.groupBy(key).agg(F.avg(null_if_nan(F.col(value))).alias("centre"))
+    centred = join_summary(train.select(key, order, value), means, [key])
+    centred = centred.withColumn(value, null_if_nan(F.col(value)) - F.col("centre"))
+    rows = row_windows(centred, [key], order, _LOOKBACK, build, daily)
     terms = [F.lit(1.0), *[F.col(f"_u{i}") for i in range(1, _LOOKBACK + 2)]]
-    complete = rows.filter(F.col(f"_u{_LOOKBACK + 1}").isNotNull())
+    complete = rows.filter(reduce(lambda a, b: a & b, [t.isNotNull() for t in terms[1:]]))
     size = len(terms)
     pairs = [(i, j) for i in range(size) for j in range(i, size)]
-    sums = complete.groupBy(key).agg(*[F.sum(terms[i] * terms[j]).alias(f"_s{i}_{j}") for i, j in pairs])
-    return sums.select(key, F.array(*[f"_s{i}_{j}" for i, j in pairs]).alias("moments"))
+    sums = complete.groupBy(key, "centre").agg(*[F.sum(terms[i] * terms[j]).alias(f"_s{i}_{j}") for i, j in pairs])
+    return sums.select(key, "centre", F.array(*[f"_s{i}_{j}" for i, j in pairs]).alias("moments"))
 
 
 def last_values(
     train: DataFrame, key: str = "series_id", order: str = "date", value: str = "value", n: int = _LOOKBACK + 1
 ) -> DataFrame:
-    """The last n values of each series in date order, and its last date."""
+    """The last n known values of each series in date order, and the date of the last one."""
     recent = F.row_number().over(Window.partitionBy(key).orderBy(F.desc(order)))
-    tail = train.select(key, order, value).withColumn("_r", recent).filter(F.col("_r") <= n)
+    known = train.select(key, order, value).filter(null_if_nan(F.col(value)).isNotNull())
+    tail = known.withColumn("_r", recent).filter(F.col("_r") <= n)
     return tail.groupBy(key).agg(
         F.sort_array(F.collect_list(F.struct(order, value)))[value].alias("recent"),
         F.max(order).alias("last_date"),
     )
 
 
-def _fit_ar(moments: np.ndarray) -> tuple[int, int, float, np.ndarray]:
-    """(p, d, constant, weights) with the lowest AIC."""
+def _fit_ar(moments: np.ndarray, fixed: tuple[int, int] | None = None) -> tuple[int, int, float, np.ndarray]:
+    """(p, d, constant, weights) with the lowest AIC, or of the given order."""
     size = _LOOKBACK + 2
     gram = np.zeros((size, size))
     gram[np.triu_indices(size)] = moments
@@ -80,6 +90,8 @@ def _fit_ar(moments: np.ndarray) -> tuple[int, int, float, np.ndarray]:
     best = None
     for d, basis in enumerate((level, change, second)):
         for p in range(MAX_P + 1):
+            if fixed is not None and fixed != (p, d):
+                continue
             design = [*([unit[0]] if d < 2 else []), *basis[1 : p + 1]]
             if n <= len(design) + 1:
                 continue
@@ -125,33 +137,35 @@ def forecast_ar(
     order: str = "date",
     value: str = "value",
     daily: bool = False,
+    fixed: tuple[int, int] | None = None,
 ) -> DataFrame:
     """AR forecasts: (key, p, d, step, date, predicted).
 
     `horizon` has (key, horizon): the number of days to forecast. p <= 5 and d <= 2 are
-    chosen by AIC. A series too short for any model repeats its last value.
+    chosen by AIC, unless `fixed` gives (p, d). A series too short for any model repeats its
+    last value; one without a known value has no forecast. A job stores the means.
     """
-    state = (
-        last_values(train, key, order, value)
-        .join(ar_moments(train, key, order, value, daily), key, "left")
-        .join(horizon.select(key, F.col("horizon").cast("int").alias("horizon")), key)
-    )
+    moments = ar_moments(train, key, order, value, daily)
+    steps_wanted = horizon.select(key, F.col("horizon").cast("int").alias("horizon"))
+    state = join_null_safe(last_values(train, key, order, value), moments, [key], "left")
+    state = join_null_safe(state, steps_wanted, [key])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples(index=False):
-                recent = np.asarray(row.recent, dtype=float)
                 known = row.moments is not None
-                p, d, constant, weights = _fit_ar(np.asarray(row.moments)) if known else (0, 1, 0.0, np.zeros(0))
+                centre = row.centre if known else 0.0
+                recent = np.asarray(row.recent, dtype=float) - centre
+                p, d, constant, weights = _fit_ar(np.asarray(row.moments), fixed) if known else (0, 1, 0.0, np.zeros(0))
                 done = 0
                 for block in _ar_steps(p, d, constant, weights, recent, row.horizon):
                     steps = np.arange(done + 1, done + len(block) + 1)
                     done += len(block)
                     yield pd.DataFrame(
-                        {"key": row.key, "p": p, "d": d, "step": steps, "last_date": row.last_date, "predicted": block}
+                        {"key": row.key, "p": p, "d": d, "step": steps, "last_date": row.last_date, "predicted": block + centre}
                     )
 
-    steps = state.select(F.col(key).alias("key"), "recent", "moments", "last_date", "horizon").mapInPandas(
+    steps = state.select(F.col(key).alias("key"), "recent", "centre", "moments", "last_date", "horizon").mapInPandas(
         run, "key string, p int, d int, step int, last_date date, predicted double"
     )
     return steps.select(
@@ -162,20 +176,20 @@ def forecast_ar(
 # --- trend and seasons ----------------------------------------------------------------
 
 
-def season_terms(date: Column) -> list[Column]:
+def season_terms(date: Column, yearly: int = YEARLY_TERMS, weekly: int = WEEKLY_TERMS) -> list[Column]:
     """1, trend in years, yearly and weekly sine and cosine terms."""
     day = F.datediff(date, F.lit(_ORIGIN).cast("date")).cast("double")
     terms = [F.lit(1.0), day / YEAR]
-    for period, count in ((YEAR, YEARLY_TERMS), (WEEK, WEEKLY_TERMS)):
+    for period, count in ((YEAR, yearly), (WEEK, weekly)):
         for k in range(1, count + 1):
             angle = day * (2 * np.pi * k / period)
             terms += [F.sin(angle), F.cos(angle)]
     return terms
 
 
-def _season_matrix(days: np.ndarray) -> np.ndarray:
+def _season_matrix(days: np.ndarray, yearly: int, weekly: int) -> np.ndarray:
     columns = [np.ones_like(days), days / YEAR]
-    for period, count in ((YEAR, YEARLY_TERMS), (WEEK, WEEKLY_TERMS)):
+    for period, count in ((YEAR, yearly), (WEEK, weekly)):
         for k in range(1, count + 1):
             angle = days * (2 * np.pi * k / period)
             columns += [np.sin(angle), np.cos(angle)]
@@ -183,55 +197,77 @@ def _season_matrix(days: np.ndarray) -> np.ndarray:
 
 
 def season_coefficients(
-    train: DataFrame, key: str = "series_id", order: str = "date", value: str = "value"
+    train: DataFrame,
+    key: str = "series_id",
+    order: str = "date",
+    value: str = "value",
+    yearly: int = YEARLY_TERMS,
+    weekly: int = WEEKLY_TERMS,
 ) -> DataFrame:
     """(key, coefficients) by least squares.
 
-    First a matrix of sums per series and year (at most 366 rows of a daily series), then
-    one solve per series over its years.
+    Each task adds up one matrix of sums for each of its series; a solve per series adds
+    those of all tasks.
     """
-    size = 2 + 2 * (YEARLY_TERMS + WEEKLY_TERMS)
-    known = train.filter(F.col(value).isNotNull()).select(
+    size = 2 + 2 * (yearly + weekly)
+    known = train.filter(null_if_nan(F.col(value)).isNotNull()).select(
         F.col(key).alias("key"),
-        chunk_of(train, order).alias(CHUNK),
         F.datediff(order, F.lit(_ORIGIN).cast("date")).cast("double").alias("day"),
         F.col(value).cast("double").alias("y"),
     )
 
-    def sums(group: pd.DataFrame) -> pd.DataFrame:
-        x = _season_matrix(group["day"].to_numpy())
-        xy = np.column_stack([x, group["y"].to_numpy()])
-        return pd.DataFrame({"key": [group["key"].iloc[0]], "gram": [(x.T @ xy).ravel()]})
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict = {}
+        for batch in batches:
+            for name, group in batch.groupby("key", dropna=False):
+                x = _season_matrix(group["day"].to_numpy(), yearly, weekly)
+                gram = x.T @ np.column_stack([x, group["y"].to_numpy()])
+                name = None if pd.isna(name) else name
+                held[name] = held[name] + gram if name in held else gram
+            if len(held) > MOST_HELD:
+                yield pd.DataFrame({"key": list(held), "gram": [g.ravel() for g in held.values()]})
+                held = {}
+        if held:
+            yield pd.DataFrame({"key": list(held), "gram": [g.ravel() for g in held.values()]})
 
     def solve(group: pd.DataFrame) -> pd.DataFrame:
         total = np.sum(np.stack(group["gram"].to_numpy()), axis=0).reshape(size, size + 1)
         weights = np.linalg.lstsq(total[:, :size], total[:, size], rcond=1e-10)[0]
         return pd.DataFrame({"key": [group["key"].iloc[0]], "coefficients": [weights]})
 
-    by_year = known.groupBy("key", CHUNK).applyInPandas(sums, "key string, gram array<double>")
-    solved = by_year.groupBy("key").applyInPandas(solve, "key string, coefficients array<double>")
+    added = known.mapInPandas(sums, "key string, gram array<double>")
+    solved = added.groupBy("key").applyInPandas(solve, "key string, coefficients array<double>")
     return solved.select(F.col("key").alias(key), "coefficients")
 
 
-def season_value(coefficients: Column, date: Column) -> Column:
+def season_value(coefficients: Column, date: Column, yearly: int = YEARLY_TERMS, weekly: int = WEEKLY_TERMS) -> Column:
     """The model at a date, as a column expression."""
     total = F.lit(0.0)
-    for i, term in enumerate(season_terms(date)):
+    for i, term in enumerate(season_terms(date, yearly, weekly)):
         total = total + coefficients[i] * term
     return total
 
 
 def forecast_trend_season(
-    train: DataFrame, horizon: DataFrame, key: str = "series_id", order: str = "date", value: str = "value"
+    train: DataFrame,
+    horizon: DataFrame,
+    key: str = "series_id",
+    order: str = "date",
+    value: str = "value",
+    yearly: int = YEARLY_TERMS,
+    weekly: int = WEEKLY_TERMS,
 ) -> DataFrame:
-    """(key, step, date, predicted) for the days after the last training day."""
+    """(key, step, date, predicted) for the days after the last training day.
+
+    `yearly` and `weekly` are the numbers of sine and cosine pairs; none leave a straight line.
+    """
     last = train.groupBy(key).agg(F.max(order).alias("last_date"))
+    steps_wanted = horizon.select(key, F.col("horizon").cast("int").alias("horizon"))
+    state = join_null_safe(season_coefficients(train, key, order, value, yearly, weekly), last, [key])
     future = (
-        season_coefficients(train, key, order, value)
-        .join(last, key)
-        .join(horizon.select(key, F.col("horizon").cast("int").alias("horizon")), key)
+        join_null_safe(state, steps_wanted, [key])
         .filter(F.col("horizon") > 0)
         .withColumn("step", F.explode(F.sequence(F.lit(1), F.col("horizon"))))
         .withColumn(order, F.date_add("last_date", F.col("step")))
     )
-    return future.select(key, "step", order, season_value(F.col("coefficients"), F.col(order)).alias("predicted"))
+    return future.select(key, "step", order, season_value(F.col("coefficients"), F.col(order), yearly, weekly).alias("predicted"))

@@ -78,10 +78,10 @@ def monitoring_fact(
 ) -> tuple[DataFrame, DataFrame]:
     """(fact, scores): 14 columns per prediction, and the numbers per (target, model).
 
-    All targets and models are done in one plan. The scores are stored once: the fact table
-    and the summary both read them.
+    All targets and models are done in one plan. The rolling errors and the scores are stored
+    once: the fact table and the summary both read them.
     """
-    rolled = rolling_rmse(predictions, TARGET_MODEL, date, window, daily)
+    rolled = settle(rolling_rmse(predictions, TARGET_MODEL, date, window, daily))
     scores = settle(stability_index(rolled))
     constants = scores.select(*TARGET_MODEL, "stability_index", "overall_rmse")
     fact = join_summary(rolled, constants, TARGET_MODEL, stored=True).withColumns(dashboard_fields(date))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from yieldwatch.operators.drift import feature_drift
 from yieldwatch.operators.monitor import monitoring_fact, monitoring_summary
 from yieldwatch.operators.split import chrono_split
+from yieldwatch.sources.scratch import settle
 from yieldwatch.sources.writers import write_dashboard
 
 
@@ -34,14 +35,17 @@ def all_dashboards(
     daily: bool = False,
     feature_keys: Sequence[str] = (),
     output: str | None = None,
+    drift: DataFrame | None = None,
 ) -> Dashboard:
     """Fact table, drift report and summary of every (target, model) in `predictions`.
 
-    Drift depends on the features only, so it is computed once for all of them. A pair
-    without predictions has no rows and so does not appear.
+    Drift depends on the features only, so it is computed once for all of them; a report that
+    is there already may be given as `drift`. A pair without predictions has no rows and so
+    does not appear. Runs jobs that store the rolling errors, the scores and the drift.
     """
     fact, scores = monitoring_fact(predictions, window, daily)
-    drift = drift_report(features, feature_keys)
+    if drift is None:
+        drift = settle(drift_report(features, feature_keys))
     summary = monitoring_summary(scores, drift)
     if output is not None:
         write_dashboard(fact, drift, summary, output)
@@ -57,7 +61,8 @@ def monitoring_dashboard(
     daily: bool = False,
     feature_keys: Sequence[str] = (),
     output: str | None = None,
+    drift: DataFrame | None = None,
 ) -> Dashboard:
     """The dashboard of one target and model."""
     own = predictions.filter((F.col("target") == target) & (F.col("model") == model))
-    return all_dashboards(own, features, window, daily, feature_keys, output)
+    return all_dashboards(own, features, window, daily, feature_keys, output, drift)

@@ -26,6 +26,18 @@ def _number(text: Column) -> Column:
     return null_if_nan(text.try_cast("double"))
 
 
+def _by_name(spark: SparkSession, path: str, names: Sequence[str]) -> DataFrame:
+    """The named columns of CSV files as text, in any order of the header; a missing one is an error.
+
+    All files must have the header of the first, in the same order; another one is an error too.
+    """
+    raw = spark.read.csv(path, header=True, enforceSchema=False)
+    missing = [n for n in names if n not in raw.columns]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    return raw.select(*[F.col(f"`{n}`") for n in names])
+
+
 def read_rates_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """(series_id, ts, value) from files with a date column and one value column.
 
@@ -33,6 +45,7 @@ def read_rates_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     without a readable date or number are left out.
     """
     paths = [path] if isinstance(path, str) else list(path)
+    # Each file names its value column as it likes, so the two columns are taken in their order.
     raw = spark.read.csv(paths, header=True, schema="ts STRING, value STRING", enforceSchema=True)
     location = F.col("_metadata.file_path")
     folder = F.regexp_extract(location, r"/series_id=([^/]+)/", 1)
@@ -44,9 +57,8 @@ def read_rates_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 
 
 def read_wide_rates_csv(spark: SparkSession, path: str, series: Sequence[str]) -> DataFrame:
-    """(series_id, date, value) from a file with a date and one column per series."""
-    schema = T.StructType([T.StructField("date", T.StringType())] + [T.StructField(s, T.StringType()) for s in series])
-    raw = spark.read.csv(path, header=True, schema=schema, enforceSchema=True)
+    """(series_id, date, value) from files with a date and one column per series, found by name."""
+    raw = _by_name(spark, path, ["date", *series])
     cells = F.array(*[F.struct(F.lit(s).alias("series_id"), _number(F.col(f"`{s}`")).alias("value")) for s in series])
     return raw.select(F.col("date").try_cast("date").alias("date"), F.explode(cells).alias("_c")).select(
         "_c.series_id", "date", "_c.value"
@@ -54,8 +66,11 @@ def read_wide_rates_csv(spark: SparkSession, path: str, series: Sequence[str]) -
 
 
 def read_behavioral_csv(spark: SparkSession, path: str) -> DataFrame:
-    """The customer table; NaN becomes NULL."""
-    rows = spark.read.csv(path, header=True, schema=BEHAVIORAL_SCHEMA)
+    """The customer table, its columns found by name; other columns are left out. NaN becomes
+    NULL, and so does what is no value of the column's type."""
+    fields = T.StructType.fromDDL(BEHAVIORAL_SCHEMA).fields
+    text = _by_name(spark, path, [f.name for f in fields])
+    rows = text.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in fields])
     doubles = [f.name for f in rows.schema.fields if isinstance(f.dataType, T.DoubleType)]
     return rows.withColumns({c: null_if_nan(F.col(c)) for c in doubles})
 

@@ -1,7 +1,8 @@
 """The shared folder for intermediate tables.
 
 A cluster names a folder that every executor can reach in ``spark.checkpoint.dir``. Only
-where that setting is absent, as in a local test, is a folder of our own used.
+where that setting is absent and the master is local, as in a test, is a folder of our own
+used; elsewhere a missing setting is an error.
 """
 
 from __future__ import annotations
@@ -19,11 +20,20 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="yieldwatch-")
     spark.sparkContext.setCheckpointDir(local)
     return local
 
 
+def clean_up(spark: SparkSession) -> bool:
+    """Delete this application's intermediate tables; results that read them are lost."""
+    path = f"{shared_dir(spark).rstrip('/')}/yieldwatch/{spark.sparkContext.applicationId}"
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder, in this application's own part of it."""
     application = spark.sparkContext.applicationId
