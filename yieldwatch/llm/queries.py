@@ -179,7 +179,24 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 # 5 ------------------------------------------------------------------------------------
 
 
-@query("op5_adaptive_prefix_join")
+JACCARD_SQL = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, list_filter(
+    regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+    lambda x: x <> '') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM split),
+sizes AS (SELECT doc_id, CAST(len(s) AS BIGINT) AS n FROM sets),
+shingles AS (SELECT doc_id, unnest(s) AS s FROM sets),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+reach(a, b) AS (SELECT doc_id, doc_id FROM sizes UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT a AS doc_id, any_value(n) AS n_shingles, min(b) AS component_id FROM reach JOIN sizes ON doc_id = a GROUP BY a
+"""
+
+
+@query("op5_adaptive_prefix_join", JACCARD_SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     from yieldwatch.llm import jaccard
 
