@@ -82,8 +82,8 @@ def test_components_are_those_of_all_pairs(spark, rows):
 
 
 def test_small_limits_change_no_result(spark, rows, monkeypatch):
-    # One pivot at a time and several buckets for every list.
-    monkeypatch.setattr(jaccard, "PIVOTS", 2)
+    # Several blocks for every group, and more buckets.
+    monkeypatch.setattr(jaccard, "MOST_SETS", 7)
     monkeypatch.setattr(jaccard, "POSTINGS", 500)
     assert got(spark, rows) == plain_components(rows)[0]
 
@@ -103,3 +103,14 @@ def test_one_row_of_each_component_stays_with_all_its_columns(spark, rows):
     links = [(i, j) for i in range(len(sets)) for j in range(i) if sets[i] and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])]
     assert links == []
     assert sum(not s for s in sets) == sum(not plain.words(t) for _, t in rows)
+
+
+def test_overlaps_are_those_of_sets(monkeypatch):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 300, size=n).astype(np.uint64)) for n in rng.integers(1, 80, size=60)]
+    expected = [[len(set(a.tolist()) & set(b.tolist())) for b in sets[20:]] for a in sets[:20]]
+    for many in (0, 20, 10**9):
+        monkeypatch.setattr(jaccard, "MANY", many)
+        assert jaccard.overlaps(sets[:20], sets[20:]).tolist() == expected

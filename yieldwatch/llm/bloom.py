@@ -22,7 +22,8 @@ PROBES = 3
 
 def _places(keys: np.ndarray) -> Iterator[np.ndarray]:
     for k in range(PROBES):
-        yield (mix(keys + np.uint64(k * 2 + 1) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BITS)).astype(np.int64)
+        step = np.uint64((k * 2 + 1) * 0x9E3779B97F4A7C15 % 2**64)
+        yield (mix(keys + step) >> np.uint64(64 - BITS)).astype(np.int64)
 
 
 def contains(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:

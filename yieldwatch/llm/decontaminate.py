@@ -51,7 +51,7 @@ def seeds_of(words: Words, masks: list[np.ndarray]) -> Iterator[tuple[np.ndarray
     powers = power(SPAN + 2)
     for number, (mask, span) in enumerate(zip(masks, _spans(masks))):
         places = at[at + span <= end]
-        total = np.full(len(places), np.uint64(span * 64 + min(number, len(MASKS))) * np.uint64(0x2545F4914F6CDD1D))
+        total = np.full(len(places), np.uint64((span * 64 + min(number, len(MASKS))) * 0x2545F4914F6CDD1D % 2**64))
         for k, offset in enumerate(mask):
             total += words.hashes[places + offset] * powers[k + 1]
         yield mix(total), places

@@ -3,16 +3,15 @@
 Two texts link when the Jaccard similarity of their sets of five-word shingles is 0.75 or
 more. Shingles have one global order, rare ones first: their counts in a sketch of fixed
 size rank the sketch's cells, and the rank takes the place of the cell in the shingle's
-hash, so that hashes sort by rarity. Sets that link share a shingle among the first
-n - ceil(0.75 n) + 1 of each; a prefix longer by l - 1 must share l. Each text takes the l
-that makes its expected candidates cheapest, and candidates that share too few shingles of
-their prefixes are dropped before the whole sets are compared.
-
-Equal sets are one class and take part once. Texts that share a prefix shingle form a list;
-a list is never expanded into all pairs. Its members are compared with one member, the
-pivot. What is left undecided are members not yet connected whose distances to the pivot
-are near enough (triangle inequality); they are compared with more pivots, until nothing is
-undecided. No link between different sets is lost, and components are exact.
+hash, so that hashes sort by rarity. Sets that link share a shingle among the first n - ceil(0.75 n) + 1
+of the larger and the first n - ceil(6/7 n) + 1 of the smaller; prefixes longer by l - 1 must share l. Each text takes the l
+that makes its postings and expected candidates cheapest. Texts that share too few shingles
+of their prefixes with texts of a fitting size are dropped before any set is moved and compared.
+
+Equal sets are one class and take part once. Texts that share a prefix shingle form a list.
+Lists are put together by their most usual member and compared there, block by block; only
+a tree of the links leaves a block, never its pairs. No link between different sets is
+lost, and components are exact.
 """
 
 from __future__ import annotations
@@ -36,11 +35,15 @@ NEED = 75  # per cent
 CELL_BITS = 20
 CELLS = 1 << CELL_BITS
 BLOCK = 1 << 14  # cells of the sketch that one task adds up
-LONGEST = 8  # prefixes require 1 to LONGEST shared shingles
-POSTINGS = 500_000  # postings of a bucket, about
+MOVE = 16  # to deal out one posting costs as much as this many comparisons
+POSTINGS = 1_000_000  # postings of a bucket, about
+HELD_POSTINGS = 1_000_000  # postings that a task holds before it deals them out
 PER_SALT = 1 << 16  # a list expected to be longer is spread over several buckets
-PIVOTS = 16  # pivots of a list in the second round; each further round has so many times more
+MOST_SETS = 2048  # sets of a block, about
+MOST_TOKENS = 1 << 20  # shingles of all sets of a block, about
+MANY = 1024  # pairs that share a shingle; above, matrices count them
 BATCH_BYTES = 16 << 20
+PACKED = ["tokens", "inner", "at", "classes", "sizes", "least"]  # of the postings of one bucket
 
 _LOW = np.uint64((1 << (64 - CELL_BITS)) - 1)
 _SHIFT = np.uint64(64 - CELL_BITS)
@@ -66,6 +69,11 @@ def needed(n: np.ndarray) -> np.ndarray:
     return (NEED * n + 99) // 100
 
 
+def needed_of_longer(n: np.ndarray) -> np.ndarray:
+    """Shingles that a set of n shares with any set at least as large that links with it."""
+    return (2 * NEED * n + 99 + NEED) // (100 + NEED)
+
+
 def distinct_sets(hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The sorted distinct hashes between offsets, and their offsets."""
     hashes = hashes.copy()
@@ -175,96 +183,138 @@ class Order:
         """Expected length of the list of each (renamed) shingle."""
         return self.expected[(tokens >> _SHIFT).astype(np.int64)]
 
-    def longest_prefix(self, tokens: np.ndarray) -> int:
-        """The l of one set: shared shingles to require, by the cost of the candidates."""
+    def required(self, tokens: np.ndarray) -> int:
+        """The l of one set: shared shingles to require, where the postings of the prefix and
+        the comparisons with candidates, at most list lengths / l, are cheapest together."""
         n = len(tokens)
         base = n - int(needed(np.int64(n)))
-        most = min(LONGEST, n - base)
-        if most < 1:
-            return 1
-        lists = np.cumsum(self.lists(tokens[: base + most]))
-        l = np.arange(1, most + 1)
-        scanned = lists[base:]
-        return int(np.argmin(scanned + n * (scanned / l))) + 1
+        most = max(1, min(n - base, n // 2))
+        lists = np.cumsum(self.lists(tokens[: base + most]))[base:]
+        return int(np.argmin(lists * (MOVE + n / np.arange(1, most + 1)))) + 1
 
 
 def _salts(lists: np.ndarray) -> np.ndarray:
     return lists // PER_SALT + 1
 
 
+def _least_in(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """The smallest of values[low:high] for each pair of bounds, which are not empty."""
+    longest = int((high - low).max()) if len(low) else 1
+    table = [values]
+    while (1 << len(table)) <= longest:
+        step, last = 1 << (len(table) - 1), table[-1].copy()
+        last[:-step] = np.minimum(last[:-step], table[-1][step:])
+        table.append(last)
+    level = np.log2(high - low).astype(np.int64)
+    levels = np.stack(table)
+    return np.minimum(levels[level, low], levels[level, high - (1 << level)])
+
+
 def active_lists(df: DataFrame, text: str, order, buckets: int) -> DataFrame:
-    """Stored (list, class): classes that share a shingle of their shortest prefixes.
+    """Stored (list, class, size, inner): classes that share shingles of their prefixes, as
+    many as needed. inner: the shingle is in the prefix that meets larger sets.
 
-    Lists with the same members are one. Lists expected to be very long are spread over
-    buckets and passed on as they are.
+    A posting counts for its class if another one of the same shingle belongs to a set of a
+    size that can link. A class stays if it has as many such postings as it must share with
+    a partner. Lists with the same members are one, and lists are cut where sizes are too far
+    apart. Lists expected to be very long are spread over buckets and passed on as they are.
     """
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, ...]] = []
         count = 0
 
         def flush() -> pa.RecordBatch:
-            tokens, classes = (np.concatenate(x) for x in zip(*held))
+            tokens, inner, classes, sizes, least, postings = (np.concatenate(x) for x in zip(*held))
+            owner = np.repeat(np.arange(len(classes)), postings)
             salts = _salts(order.value.lists(tokens)).astype(np.uint64)
-            salt = mix(classes.view(np.uint64)) % salts
+            salt = mix(classes.view(np.uint64))[owner] % salts
             bucket = (mix(tokens + salt * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(buckets)).astype(np.int32)
             by = np.argsort(bucket, kind="stable")
-            tokens, classes, bucket = tokens[by], classes[by], bucket[by]
+            tokens, inner, owner, bucket = tokens[by], inner[by], owner[by], bucket[by]
             begins = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
-            ends = np.append(begins[1:], len(bucket))
-            spans = list(zip(begins.tolist(), ends.tolist()))
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array(bucket[begins]),
-                    pa.array([tokens[a:b].tobytes() for a, b in spans], pa.binary()),
-                    pa.array([classes[a:b].tobytes() for a, b in spans], pa.binary()),
-                ],
-                names=["bucket", "tokens", "classes"],
-            )
+            columns: list[list[bytes]] = [[], [], [], [], [], []]
+            for a, b in zip(begins.tolist(), np.append(begins[1:], len(bucket)).tolist()):
+                own, at = np.unique(owner[a:b], return_inverse=True)
+                rows = (tokens[a:b], inner[a:b], at.astype("<u4"), classes[own], sizes[own].astype("<u4"), least[own].astype("<u4"))
+                for column, row in zip(columns, rows):
+                    column.append(row.tobytes())
+            packed = [pa.array(column, pa.binary()) for column in columns]
+            return pa.RecordBatch.from_arrays([pa.array(bucket[begins]), *packed], names=["bucket", *PACKED])
 
         for batch in batches:
             for _, _, hashes, offsets, classes in _sets(batch.column(0)):
-                fresh = _once(classes, seen)
-                sizes = np.diff(offsets)
+                fresh = np.flatnonzero(_once(classes, seen))
                 tokens = order.value.sort(hashes, offsets)
-                place = np.arange(len(tokens)) - np.repeat(offsets[:-1], sizes)
-                prefix = np.where(fresh, sizes - needed(sizes) + 1, 0)
-                chosen = place < np.repeat(prefix, sizes)
-                held.append((tokens[chosen], np.repeat(classes, sizes)[chosen]))
-                count += len(held[-1][0])
-                if count >= 2_000_000:
+                sizes = np.diff(offsets)[fresh]
+                least = np.array([order.value.required(tokens[offsets[i] : offsets[i + 1]]) for i in fresh], dtype=np.int64)
+                postings = sizes - needed(sizes) + least
+                begin = offsets[:-1][fresh]
+                place = np.arange(postings.sum()) - np.repeat(np.cumsum(postings) - postings, postings)
+                at = place + np.repeat(begin, postings)
+                inner = place < np.repeat(sizes - needed_of_longer(sizes) + least, postings)
+                held.append((tokens[at], inner, classes[fresh], sizes, least, postings))
+                count += len(at)
+                if count >= HELD_POSTINGS:
                     yield flush()
                     held, count = [], 0
         if count:
             yield flush()
 
     def gather(table: pa.Table) -> pa.Table:
-        tokens = np.concatenate([np.frombuffer(x, dtype=np.uint64) for x in table["tokens"].to_pylist()])
-        classes = np.concatenate([np.frombuffer(x, dtype=np.int64) for x in table["classes"].to_pylist()])
-        by = np.lexsort((classes, tokens))
-        tokens, classes = tokens[by], classes[by]
-        fresh = np.concatenate([[True], (tokens[1:] != tokens[:-1]) | (classes[1:] != classes[:-1])])
-        tokens, classes = tokens[fresh], classes[fresh]
-        begins = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
-        sizes = np.diff(np.append(begins, len(tokens)))
-        spread = _salts(order.value.lists(tokens[begins])) > 1
-        names = mix(np.add.reduceat(mix(classes.view(np.uint64)), begins) + sizes.astype(np.uint64))
-        names[spread] = tokens[begins][spread]
-        _, one = np.unique(names, return_index=True)
-        wanted = np.zeros(len(begins), dtype=bool)
-        wanted[one] = True
-        wanted &= (sizes > 1) | spread
-        kept = np.repeat(wanted, sizes)
-        return pa.table({"list": np.repeat(names, sizes)[kept].view(np.int64), "class": classes[kept]})
-
-    posted = df.select(text).mapInArrow(post, "bucket int, tokens binary, classes binary")
-    gathered = posted.groupBy("bucket").applyInArrow(gather, "list bigint, class bigint")
-    return settle(gathered.distinct())
+        parts = []
+        for tokens, inner, at, classes, sizes, least in zip(*(table[c].to_pylist() for c in PACKED)):
+            own = np.frombuffer(at, dtype="<u4")
+            columns = [np.frombuffer(classes, dtype=np.int64), np.frombuffer(sizes, dtype="<u4"), np.frombuffer(least, dtype="<u4")]
+            parts.append((np.frombuffer(tokens, dtype=np.uint64), np.frombuffer(inner, dtype=bool), *(c[own].astype(np.int64) for c in columns)))
+        rows = [np.concatenate(x) for x in zip(*parts)]
+        by = np.lexsort((rows[2], rows[3], rows[0]))  # token, size, class
+        rows = [x[by] for x in rows]
+        fresh = np.concatenate([[True], (rows[0][1:] != rows[0][:-1]) | (rows[2][1:] != rows[2][:-1])])
+        tokens, inner, classes, sizes, least = (x[fresh] for x in rows)
+        spread = _salts(order.value.lists(tokens)) > 1
+        # Members whose size lets them link, between 3/4 and 4/3 of the own size: low to high.
+        number = np.cumsum(np.concatenate([[0], tokens[1:] != tokens[:-1]])).astype(np.int64) << 32
+        key = number + sizes
+        low = np.searchsorted(key, number + (NEED * sizes + 99) // 100)
+        high = np.searchsorted(key, number + 100 * sizes // NEED, side="right")
+        # A pair counts where the smaller set has the shingle in its inner prefix.
+        inner_before = np.concatenate([[0], np.cumsum(inner)])
+        smaller = inner_before[np.searchsorted(key, key, side="right")] - inner_before[low]
+        larger = high - np.searchsorted(key, key)
+        kept = spread | np.where(inner, (smaller > 1) | (larger > 1), smaller > 0)
+        least = np.where(spread, 1, _least_in(least, low, high))
+        tokens, inner, classes, sizes, least, spread = (x[kept] for x in (tokens, inner, classes, sizes, least, spread))
+        if not len(tokens):
+            return pa.table({"list": classes, "class": classes, "size": classes, "inner": inner, "postings": classes, "least": classes})
+        new = np.ones(len(tokens), dtype=bool)
+        apart = (100 * sizes[:-1] < NEED * sizes[1:]) & ~spread[1:]
+        new[1:] = (tokens[1:] != tokens[:-1]) | apart
+        begins = np.flatnonzero(new)
+        members = np.diff(np.append(begins, len(tokens)))
+        names = mix(np.add.reduceat(mix(classes.view(np.uint64) + inner.astype(np.uint64)), begins) + members.astype(np.uint64))
+        names[spread[begins]] = tokens[begins][spread[begins]]
+        _, one, times = np.unique(names, return_index=True, return_counts=True)
+        postings = np.zeros(len(begins), dtype=np.int64)
+        postings[one] = times
+        chosen = np.repeat(postings, members) > 0
+        out = {"list": np.repeat(names, members).view(np.int64), "class": classes, "size": sizes, "inner": inner, "postings": np.repeat(postings, members), "least": least}
+        return pa.table({name: column[chosen] for name, column in out.items()})
+
+    posted = df.select(text).mapInArrow(post, "bucket int, " + ", ".join(f"{c} binary" for c in PACKED))
+    gathered = posted.groupBy("bucket").applyInArrow(gather, "list bigint, class bigint, size bigint, inner boolean, postings bigint, least bigint")
+    lists = settle(
+        gathered.groupBy("list", "class", "size").agg(F.max("inner").alias("inner"), F.sum("postings").alias("postings"), F.min("least").alias("least"))
+    )
+    enough = lists.groupBy("class").agg(F.sum("postings").alias("n"), F.min("least").alias("l")).filter("n >= l")
+    strong = lists.join(settle(enough.select("class")), "class", "left_semi").select("list", "class", "size", "inner")
+    shared = strong.groupBy("list").agg(F.count("*").alias("n"), F.max("inner").alias("inner")).filter("n > 1 AND inner").select("list")
+    return settle(strong.join(settle(shared), "list", "left_semi"))
 
 
 def candidate_sets(df: DataFrame, text: str, order, bits) -> DataFrame:
-    """Stored (class, tokens, l) of the classes that the filter lets through, once each."""
+    """Stored (class, tokens) of the classes that the filter lets through, once each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -279,89 +329,113 @@ def candidate_sets(df: DataFrame, text: str, order, bits) -> DataFrame:
                     [
                         pa.array(classes[fresh]),
                         pa.array([s.tobytes() for s in sets], pa.binary()),
-                        pa.array([order.value.longest_prefix(s) for s in sets], pa.int32()),
                     ],
-                    names=["class", "tokens", "l"],
+                    names=["class", "tokens"],
                 )
 
-    return settle(df.select(text).mapInArrow(run, "class bigint, tokens binary, l int").dropDuplicates(["class"]))
+    return settle(df.select(text).mapInArrow(run, "class bigint, tokens binary").dropDuplicates(["class"]))
 
 
-def _shared(a: np.ndarray, b: np.ndarray) -> int:
-    if len(a) > len(b):
-        a, b = b, a
-    at = np.searchsorted(b, a)
-    at[at == len(b)] = 0
-    return int((b[at] == a).sum()) if len(b) else 0
+def _columns(tokens: list[np.ndarray], wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(column, set) of all tokens that are in `wanted` (sorted), by column."""
+    every = np.concatenate(tokens)
+    owner = np.repeat(np.arange(len(tokens)), [len(t) for t in tokens])
+    at = np.minimum(np.searchsorted(wanted, every), len(wanted) - 1)
+    found = wanted[at] == every
+    column, owner = at[found], owner[found]
+    by = np.argsort(column, kind="stable")
+    return column[by], owner[by]
 
 
-def compare(pairs: DataFrame, sets: DataFrame, whole: bool) -> DataFrame:
-    """Stored (a, b, similarity, links) of pairs of classes.
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Shared shingles of each set on the left with each on the right.
 
-    whole: all similarities are computed, else those of pairs that share enough of their
-    prefixes; others get null.
+    Shingles of many sets are columns of matrices, which are multiplied; those of few are
+    counted pair by pair.
     """
-
-    @F.arrow_udf("struct<similarity:double,links:boolean>")
-    def run(a: pa.Array, b: pa.Array, l_a: pa.Array, l_b: pa.Array) -> pa.Array:
-        similarity, links = [], []
-        for i in range(len(a)):
-            x, y = (np.frombuffer(s[i].as_buffer(), dtype=np.uint64) for s in (a, b))
-            least = min(l_a[i].as_py(), l_b[i].as_py())
-            if not whole:
-                ends = [len(s) - int(needed(np.int64(len(s)))) + least for s in (x, y)]
-                if _shared(x[: ends[0]], y[: ends[1]]) < least:
-                    similarity.append(None)
-                    links.append(False)
-                    continue
-            both = _shared(x, y)
-            union = len(x) + len(y) - both
-            similarity.append(both / union)
-            links.append(100 * both >= NEED * union)
-        return pa.StructArray.from_arrays([pa.array(similarity, pa.float64()), pa.array(links, pa.bool_())], names=["similarity", "links"])
-
-    left = sets.select(F.col("class").alias("a"), F.col("tokens").alias("tokens_a"), F.col("l").alias("l_a"))
-    right = sets.select(F.col("class").alias("b"), F.col("tokens").alias("tokens_b"), F.col("l").alias("l_b"))
-    joined = pairs.join(left, "a").join(right, "b")
-    compared = joined.select("a", "b", run("tokens_a", "tokens_b", "l_a", "l_b").alias("r"))
-    return settle(compared.select("a", "b", "r.similarity", "r.links"))
+    out = np.zeros((len(left), len(right)), dtype=np.float32)
+    wanted = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    if not len(wanted):
+        return out
+    (col_l, own_l), (col_r, own_r) = _columns(left, wanted), _columns(right, wanted)
+    n_l, n_r = np.bincount(col_l, minlength=len(wanted)), np.bincount(col_r, minlength=len(wanted))
+    many = n_l * n_r > MANY
+    for dense in np.array_split(np.flatnonzero(many), max(1, int(many.sum()) // 1024)):
+        if len(dense):
+            sides = []
+            for column, owner, rows in ((col_l, own_l, len(left)), (col_r, own_r, len(right))):
+                low, high = np.searchsorted(column, [dense[0], dense[-1] + 1])
+                at = np.searchsorted(dense, column[low:high])
+                inside = dense[np.minimum(at, len(dense) - 1)] == column[low:high]
+                matrix = np.zeros((rows, len(dense)), dtype=np.float32)
+                matrix[owner[low:high][inside], at[inside]] = 1
+                sides.append(matrix)
+            out += sides[0] @ sides[1].T
+    few = ~many[col_l]
+    column, rows = col_l[few], own_l[few]
+    times = n_r[column]
+    begin = (np.cumsum(n_r) - n_r)[column]
+    place = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+    cells = np.repeat(rows, times) * len(right) + own_r[np.repeat(begin, times) + place]
+    return out + np.bincount(cells, minlength=out.size).reshape(out.shape)
+
+
+def _tree(classes: np.ndarray, u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges from each node of a link to one node of its component, for links u - v."""
+    label = np.arange(len(classes))
+    while True:
+        new = label.copy()
+        np.minimum.at(new, u, label[v])
+        np.minimum.at(new, v, label[u])
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    far = np.flatnonzero(label != np.arange(len(classes)))
+    return classes[far], classes[label[far]]
+
+
+def _link(table: pa.Table) -> pa.Table:
+    """Links of one block of a group, or between two of its blocks, as a spanning tree."""
+    block = table["block"].to_numpy()
+    by = np.argsort(block, kind="stable")
+    block, classes = block[by], table["class"].to_numpy()[by]
+    packed = table["tokens"].to_pylist()
+    sets = [np.frombuffer(packed[i], dtype=np.uint64) for i in by.tolist()]
+    inside = table["i"][0].as_py() == table["j"][0].as_py()
+    cut = len(sets) if inside else int((block == block[0]).sum())
+    left, right = sets[:cut], sets if inside else sets[cut:]
+    u = v = np.zeros(0, dtype=np.int64)
+    if left and right:
+        n = np.array([len(s) for s in sets], dtype=np.float64)
+        both = overlaps(left, right).astype(np.float64)
+        union = n[:cut, None] + (n if inside else n[cut:])[None, :] - both
+        u, v = np.nonzero(100 * both >= NEED * union)
+        v = v if inside else v + cut
+    a, b = _tree(classes, u, v)
+    return pa.table({"a": a, "b": b})
 
 
 def linked_classes(lists: DataFrame, sets: DataFrame) -> DataFrame:
-    """(node, root) of all classes that link with another."""
-    sizes = settle(lists.groupBy("list").agg(F.min("class").alias("pivot"), F.count("*").alias("members")))
-    first = settle(lists.join(sizes, "list").filter(F.col("class") != F.col("pivot")))
-    pairs = first.select(F.col("pivot").alias("a"), F.col("class").alias("b")).distinct()
-    compared = compare(pairs, sets, whole=True)
-    links = compared.filter("links").select("a", "b")
-    roots = settle(connected_components(links, "a", "b"))
-    distances = compared.select(F.col("a").alias("pivot"), F.col("b").alias("class"), (1 - F.col("similarity")).alias("distance"))
-    members = settle(first.join(distances, ["pivot", "class"]).select("list", "class", "members", "distance"))
-    rate, most = PIVOTS, 1
-    while most:
-        # Members other than the pivot, with the root they have by now.
-        named = members.join(roots.select(F.col("node").alias("class"), "root"), "class", "left")
-        named = named.withColumn("root", F.coalesce("root", "class"))
-        spread = named.groupBy("list").agg((F.min("root") != F.max("root")).alias("open")).filter("open").select("list")
-        members_open = settle(named.join(settle(spread), "list"))
-        most = members_open.agg(F.max("members")).first()[0] or 0
-        if not most:
-            break
-        chance = F.lit(rate) / F.col("members")
-        draw = F.pmod(F.xxhash64("list", "class", F.lit(rate)), F.lit(1 << 30)) / F.lit(1 << 30)
-        pivots = members_open.filter(draw < chance)
-        x, y = pivots.alias("x"), members_open.alias("y")
-        near = F.abs(F.col("x.distance") - F.col("y.distance")) <= (1 - NEED / 100) + 1e-9
-        undecided = x.join(y, (F.col("x.list") == F.col("y.list")) & (F.col("x.root") != F.col("y.root")) & near)
-        pairs = undecided.select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")).distinct()
-        found = compare(pairs, sets, whole=False).filter("links").select("a", "b")
-        links = links.unionByName(found)
-        roots = settle(connected_components(links, "a", "b"))
-        if rate >= most:
-            break
-        members = members_open.filter(F.col("members") > rate).select("list", "class", "members", "distance")
-        rate *= PIVOTS
-    return roots
+    """(node, root) of all classes that link with another.
+
+    The pivot of a list is the member that is in most lists: of near copies, the one with
+    the fewest changes of its own. All lists with the same pivot are one group, so a class is
+    in few groups, and two classes with a common list have a common group. A group is cut into blocks
+    of bounded size; each block, and each two blocks of a group, are compared in one task,
+    which returns a tree of the links it finds and never the pairs.
+    """
+    usual = settle(lists.groupBy("class").agg(F.count("*").alias("usual")))
+    lists = settle(lists.join(usual, "class"))
+    pivots = settle(lists.groupBy("list").agg(F.max(F.struct("usual", "class"))["class"].alias("pivot")))
+    members = settle(lists.join(pivots, "list").select("pivot", "class", "size").distinct())
+    blocks = F.greatest(F.ceil(F.count("*") / MOST_SETS), F.ceil(F.sum("size") / MOST_TOKENS)).cast("int")
+    groups = settle(members.groupBy("pivot").agg(blocks.alias("blocks"), F.count("*").alias("n")).filter("n > 1"))
+    dealt = members.join(groups, "pivot").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("pivot", "class", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    links = dealt.join(sets, "class").groupBy("pivot", "i", "j").applyInArrow(_link, "a bigint, b bigint")
+    return settle(connected_components(settle(links.distinct()), "a", "b"))
 
 
 def text_class(text: str | Column) -> Column:

@@ -2,7 +2,7 @@
 
 A word is a run of bytes other than space and 0x09-0x0D, with A-Z lower-cased. Words are
 named by 64-bit hashes, so that counting, joining and comparing them needs no strings.
-Texts are handled in parts of a few megabytes; a longer text is a part of its own, since
+Texts are handled in parts of a megabyte; a longer text is a part of its own, since
 no text is ever cut.
 """
 
@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PART_BYTES = 2 << 20
+PART_BYTES = 1 << 20
 SHINGLE = 5
 
 _random = np.random.default_rng(20240501)
