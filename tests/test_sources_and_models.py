@@ -166,6 +166,8 @@ def test_classifiers_rank_separable_data(spark, tmp_path):
     assert all(r.validated for r in result.gate.collect())
     scores = result.scores.agg(F.min("score"), F.max("score")).first()
     assert 0 <= scores[0] and scores[1] <= 1
+    for curve in (result.roc_curve(), result.pr_curve()):
+        assert curve.select("target", "model").distinct().count() == 8
 
 
 def test_class_weights_balance(spark):

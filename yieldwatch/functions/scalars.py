@@ -8,6 +8,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Fixed values of the table's columns: the guard against an empty denominator, months of a
+# year, the centre and unit of credit scores, and the seasonal factors.
+EPSILON = 1e-6
+MONTHS = 12
+SCORE_CENTRE, SCORE_UNIT = 700, 50
+FACTOR_RETAIL, FACTOR_OTHER, FACTOR_NONE = 1.4, 1.2, 1.0
+
+
 def volatility_stress(volatility: Column, stress: Column) -> Column:
     return volatility * stress
 
@@ -17,11 +25,11 @@ def rate_stress(rate: Column, stress: Column) -> Column:
 
 
 def balance_vol_ratio(balance: Column, volatility: Column) -> Column:
-    return F.try_divide(balance, volatility + F.lit(1e-6))
+    return F.try_divide(balance, volatility + F.lit(EPSILON))
 
 
 def credit_age(credit_score: Column, age_months: Column) -> Column:
-    return credit_score * (age_months / 12)
+    return credit_score * (age_months / MONTHS)
 
 
 def squared(x: Column) -> Column:
@@ -29,7 +37,7 @@ def squared(x: Column) -> Column:
 
 
 def credit_score_norm(credit_score: Column) -> Column:
-    return (credit_score - 700) / 50
+    return (credit_score - SCORE_CENTRE) / SCORE_UNIT
 
 
 def interactions(available: Iterable[str]) -> dict[str, Column]:
@@ -74,9 +82,9 @@ def seasonal_factor(segment: Column, date: Column, retail: str = "Retail") -> Co
     """1.4 for the retail segment and 1.2 for others in October-December, else 1.0."""
     fourth_quarter = F.quarter(date) == 4
     return (
-        F.when(fourth_quarter & (segment == retail), F.lit(1.4))
-        .when(fourth_quarter, F.lit(1.2))
-        .otherwise(F.lit(1.0))
+        F.when(fourth_quarter & (segment == retail), F.lit(FACTOR_RETAIL))
+        .when(fourth_quarter, F.lit(FACTOR_OTHER))
+        .otherwise(F.lit(FACTOR_NONE))
     )
 
 

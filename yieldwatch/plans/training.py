@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from yieldwatch.operators import models as m
-from yieldwatch.operators.curves import ranking_metrics
+from yieldwatch.operators.curves import pr_curve, ranking_metrics, roc_curve
 from yieldwatch.operators.evaluate import (
     best_auc_gate,
     best_baseline,
@@ -42,6 +42,14 @@ class Classification:
     metrics: DataFrame
     gate: DataFrame
 
+    def roc_curve(self) -> DataFrame:
+        """(target, model, threshold, fpr, tpr) of all models."""
+        return roc_curve(self.scores, ["target", "model"])
+
+    def pr_curve(self) -> DataFrame:
+        """(target, model, threshold, precision, recall) of all models."""
+        return pr_curve(self.scores, ["target", "model"])
+
 
 @dataclass
 class Forecast:
