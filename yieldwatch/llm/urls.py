@@ -58,7 +58,7 @@ def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
 
     A target that starts with `/` is completed by the page's scheme and host.
     """
-    head = F.regexp_extract(F.col(html), r"(?is)^(.{0,20000}?)(?:</head>|<body|$)", 1)
+    head = F.get(F.split(F.col(html), r"(?i)</head>|<body\b", 2), F.lit(0))
     canonical = F.regexp_extract(F.regexp_extract(head, r"(?is)<link\b[^>]*\brel=[\"']?canonical\b[^>]*>", 0), r"(?is)\bhref=[\"']?([^\"'\s>]+)", 1)
     refresh = F.regexp_extract(F.regexp_extract(head, r"(?is)<meta\b[^>]*\bhttp-equiv=[\"']?refresh\b[^>]*>", 0), r"(?is)\burl=[\"']?([^\"'\s>]+)", 1)
     start = F.regexp_extract(F.col(url), r"(?s)^[^/?#]*://[^/?#]*", 0)
