@@ -317,3 +317,27 @@ def test_an_infinite_training_value_gives_no_drift_score(spark):
     df = spark.createDataFrame(rows, "split string, bad double, good double")
     got = {r["feature"]: r["psi"] for r in drift.psi(df, ["bad", "good"]).collect()}
     assert got["bad"] is None and got["good"] > 0
+
+
+def test_augmented_unit_root_test_is_least_squares(spark):
+    rng = np.random.default_rng(31)
+    rows, series = [], {}
+    for name, weight in (("a", 0.3), ("b", 1.0), (None, 0.9)):
+        x, change = [500.0], 0.0
+        for _ in range(300):
+            change = 0.5 * change + rng.normal() - (1 - weight) * (x[-1] - 500)
+            x.append(x[-1] + change)
+        series[name] = np.array(x)
+        rows += [(name, pd.Timestamp("2020-01-01").date() + pd.Timedelta(days=i), float(v)) for i, v in enumerate(x)]
+    rows += [("short", pd.Timestamp("2020-01-01").date() + pd.Timedelta(days=i), float(i)) for i in range(4)]
+    df = spark.createDataFrame([(s, pd.Timestamp(d).date(), v) for s, d, v in rows], "series_id string, date date, value double")
+    got = {r["series_id"]: r for r in evaluate.stationarity(df, lags=2, daily=True).collect()}
+    for name, x in series.items():
+        d = np.diff(x)
+        design = np.column_stack([np.ones(len(d) - 2), x[2:-1], d[1:-1], d[:-2]])
+        weights, rss, *_ = np.linalg.lstsq(design, d[2:], rcond=None)
+        error = np.sqrt(rss[0] / (len(d) - 2 - 4) * np.linalg.inv(design.T @ design)[1, 1])
+        assert got[name]["n"] == len(d) - 2
+        assert got[name]["slope"] == pytest.approx(weights[1], rel=1e-6)
+        assert got[name]["t_stat"] == pytest.approx(weights[1] / error, rel=1e-6)
+    assert got["short"]["t_stat"] is None

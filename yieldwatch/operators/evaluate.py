@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from yieldwatch.functions.scalars import null_if_nan
 from yieldwatch.operators.halo import row_windows
-from yieldwatch.operators.joins import join_null_safe
+from yieldwatch.operators.joins import join_null_safe, join_summary
 
 TARGET_MODEL = ("target", "model")
 # 5 % point of the Dickey-Fuller distribution with a constant.
@@ -123,8 +127,16 @@ def stationarity(
     order: str = "date",
     value: str = "value",
     daily: bool = False,
+    lags: int = 0,
 ) -> DataFrame:
-    """Dickey-Fuller t per series: the change regressed on the level of the row before."""
+    """Dickey-Fuller t per series: the change regressed on the level of the row before, and
+    with `lags` (the augmented test) on that many earlier changes too.
+
+    Rows with an unknown value among those needed are left out; a series with too few rows
+    has NULL. With `lags` a job stores the mean of each series.
+    """
+    if lags:
+        return _augmented(df, list(keys), order, value, daily, lags)
     steps = row_windows(df, keys, order, 1, lambda w: {"_level": F.lag(value).over(w)}, daily)
     steps = steps.withColumn("_change", F.col(value) - F.col("_level"))
     y, x = "_change", "_level"
@@ -140,3 +152,53 @@ def stationarity(
     return fit.select(
         *keys, "n", F.col("_slope").alias("slope"), F.try_divide(F.col("_slope"), error).alias("t_stat")
     ).withColumn("stationary", F.col("t_stat") < DICKEY_FULLER_5PCT)
+
+
+def _augmented(df: DataFrame, keys: list[str], order: str, value: str, daily: bool, lags: int) -> DataFrame:
+    """Spark sums the products of all terms per series; a small solver sees only those sums."""
+    means = df.groupBy(*keys).agg(F.avg(null_if_nan(F.col(value))).alias("_mean"))
+    rows = join_summary(df.select(*keys, order, value), means, keys)
+    rows = rows.withColumn("_x", null_if_nan(F.col(value).cast("double")) - F.col("_mean"))
+
+    def build(w) -> dict[str, Column]:
+        def back(k: int) -> Column:
+            return F.lag("_x", k).over(w) if k else F.col("_x")
+
+        return {"_t1": back(1), **{f"_t{k + 2}": back(k) - back(k + 1) for k in range(lags + 1)}}
+
+    wide = row_windows(rows, keys, order, lags + 1, build, daily)
+    # 1, the level before, this change, the earlier changes.
+    terms = [F.lit(1.0), *[F.col(f"_t{i}") for i in range(1, lags + 3)]]
+    known = wide.filter(reduce(lambda a, b: a & b, [t.isNotNull() for t in terms[1:]]))
+    size = len(terms)
+    pairs = [(i, j) for i in range(size) for j in range(i, size)]
+    sums = known.groupBy(*keys).agg(F.array(*[F.sum(terms[i] * terms[j]) for i, j in pairs]).alias("_sums"))
+
+    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [_dickey_fuller(np.asarray(m, dtype=float), size) for m in batch["_sums"]]
+            out = batch[keys].copy()
+            out["n"], out["slope"], out["t_stat"] = (list(x) for x in zip(*found)) if found else ([], [], [])
+            yield out
+
+    schema = T.StructType([sums.schema[k] for k in keys]).add("n", T.LongType()).add("slope", T.DoubleType()).add("t_stat", T.DoubleType())
+    solved = sums.mapInPandas(solve, schema)
+    return solved.withColumns({c: null_if_nan(F.col(c)) for c in ("slope", "t_stat")}).withColumn(
+        "stationary", F.col("t_stat") < DICKEY_FULLER_5PCT
+    )
+
+
+def _dickey_fuller(moments: np.ndarray, size: int) -> tuple[int, float, float]:
+    """(n, slope of the level, its t) from the products of (1, level, change, earlier changes)."""
+    gram = np.zeros((size, size))
+    gram[np.triu_indices(size)] = moments
+    gram = gram + np.triu(gram, 1).T
+    n, inputs = int(round(gram[0, 0])), [0, 1, *range(3, size)]
+    xx, xy = gram[np.ix_(inputs, inputs)], gram[inputs, 2]
+    if n <= len(inputs) or np.linalg.matrix_rank(xx) < len(inputs):
+        return n, float("nan"), float("nan")
+    inverse = np.linalg.inv(xx)
+    weights = inverse @ xy
+    residual = max(gram[2, 2] - weights @ xy, 0.0) / (n - len(inputs))
+    error = np.sqrt(residual * inverse[1, 1])
+    return n, float(weights[1]), float(weights[1] / error) if error > 0 else float("nan")
