@@ -9,7 +9,6 @@ keep no way back, so the time stays in proportion to the text.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
