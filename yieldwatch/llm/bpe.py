@@ -33,7 +33,7 @@ from yieldwatch.llm.words import parts, text_buffer
 #: A vocabulary is sent to every executor, so its size is checked.
 MOST_VOCABULARY_BYTES = 64 << 20
 #: Pieces whose merges are remembered by a worker; a full cache starts anew.
-CACHED_PIECES = 300_000
+CACHED_PIECES = 100_000
 #: Longer pieces are merged with a heap.
 SHORT_PIECE = 128
 STRETCH = 128

@@ -37,9 +37,9 @@ CELLS = 1 << CELL_BITS
 BLOCK = 1 << 14  # cells of the sketch that one task adds up
 MOVE = 16  # to deal out one posting costs as much as this many comparisons
 POSTINGS = 1_000_000  # postings of a bucket, about
-HELD_POSTINGS = 1_000_000  # postings that a task holds before it deals them out
+HELD_POSTINGS = 500_000  # postings that a task holds before it deals them out
 PER_SALT = 1 << 16  # a list expected to be longer is spread over several buckets
-MOST_SETS = 2048  # sets of a block, about
+MOST_SETS = 1024  # sets of a block, about
 MOST_TOKENS = 1 << 20  # shingles of all sets of a block, about
 MANY = 1024  # pairs that share a shingle; above, matrices count them
 BATCH_BYTES = 16 << 20
