@@ -103,3 +103,26 @@ def test_nothing_to_learn_from_and_empty_tables(spark):
     assert [(r["n_tokens"], r["n_known"], r["train_tokens"], r["score"]) for r in sorted(out)] == [(3, 0, 0, 0.0), (1, 0, 0, 0.0)]
     df = spark.createDataFrame([], "doc_id int, text string")
     assert scoring.score_texts(df, F.lit(True)).count() == 0
+
+
+def test_rare_histories_keep_their_pairs_in_a_larger_corpus(spark):
+    random.seed(31)
+    common = [f"c{i}" for i in range(40)]
+    # Each rare word occurs twice, both times before the same word.
+    rare = [(f"h{i}", f"t{i % 700}") for i in range(3000)] * 2
+    random.shuffle(rare)
+    texts = [" ".join(w for pair in rare[k : k + 20] for w in (*pair, *random.choices(common, k=4))) for k in range(0, len(rare), 20)]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    expected, counts, pairs, p = plain_scores(rows, [True] * len(rows))
+    total = sum(counts.values())
+    assert total > 30_000 and counts["h5"] == pairs["h5", "t5"] == 2
+    expected_words = {c: sum(1 - (1 - n / total) ** c for n in counts.values()) for c in set(counts.values())}
+    for r in run(spark, rows, [True] * len(rows)).collect():
+        before, score = "\n", 0.0
+        for w in plain.words(rows[r["n"]][1]) + ["\n"]:
+            f = expected_words[counts[before]] / (counts[before] + expected_words[counts[before]])
+            score += math.log10((1 - f) * pairs[before, w] / counts[before] + f * p(w))
+            before = w
+        # The histogram puts near counts together.
+        assert r["score"] == pytest.approx(score, rel=0.01)
+        assert r["base_score"] == pytest.approx(expected[r["n"]][3], abs=1e-9)

@@ -1,18 +1,18 @@
 """Log-probabilities of texts under a weighted backoff automaton learned from the corpus.
 
-States are the root and the frequent words of the training texts as histories: words with a
-share of at least STATE_SHARE of all tokens, so there are 1 / STATE_SHARE of them at most.
+States are the root and every word of the training texts as a history, however rare.
 From the state of word h, every word w seen after h has an arc with the smoothed
 probability (1 - f) c(h, w) / c(h) + f p(w); other words take the failure arc, which has the
 weight f and leads to the root, and go on from there with p(w). The failure weight is that
 of Witten and Bell, t / (c(h) + t), where t is the number of different words expected among
-c(h) tokens of the corpus. p(w) = (c(w) + 0.5) / (N + 0.5 (V + 1)). All arcs of a state sum to 1.
+c(h) tokens of the corpus; it follows from c(h) and a histogram of the counts. p(w) = (c(w) + 0.5) / (N + 0.5 (V + 1)). All arcs of a state sum to 1.
 
 A text is read once from left to right: the state before a token is that of the token
 before it (the closing token at the start), and the log-probabilities of the arcs add up.
 
-The counts are never gathered in one place. Texts are dealt into blocks; a block sends the
+Neither counts nor states are gathered in one place. Texts are dealt into blocks; a block sends the
 words and pairs it needs to buckets, which know or add up their counts and send these back.
+The word before a token is itself a word of the block, so its count is among the answers.
 Words and pairs travel as packed arrays of 64-bit hashes.
 """
 
@@ -31,8 +31,8 @@ from yieldwatch.llm.jaccard import small_batches
 from yieldwatch.llm.words import END, mix, words_of
 from yieldwatch.sources.scratch import settle
 
-#: Least share of all tokens of a word that is a history.
-STATE_SHARE = 1e-4
+#: Least share of all tokens of a word that is a history: none, so that no observed pair is lost.
+STATE_SHARE = 0.0
 TEXTS_OF_BLOCK = 2_000
 TEXTS_OF_BUCKET = 8_000
 LEAST_GROUPS = 64
@@ -104,6 +104,16 @@ def _binary(array: np.ndarray, at: np.ndarray) -> pa.Array:
     return pa.array([array[a:b].tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist())], pa.binary())
 
 
+def _narrow(counts: np.ndarray) -> np.ndarray:
+    """The same counts, as the narrowest unsigned integers that hold them."""
+    return counts.astype(np.min_scalar_type(int(counts.max(initial=0))))
+
+
+def _widened(packed: bytes, count: int) -> np.ndarray:
+    """`count` integers that _narrow has packed."""
+    return np.frombuffer(packed, dtype=f"<u{len(packed) // count}").astype(np.int64)
+
+
 def _joined(column: pa.ChunkedArray, kind) -> np.ndarray:
     rows = [np.frombuffer(x, dtype=kind) for x in column.to_pylist() if x]
     return np.concatenate(rows) if rows else np.zeros(0, dtype=kind)
@@ -150,44 +160,48 @@ def count_words(texts: DataFrame, buckets: int) -> DataFrame:
 
 @dataclass(frozen=True)
 class Automaton:
-    """What all tasks know of the model: totals, and the states' hashes, counts and failure weights."""
+    """What all tasks know of the model: totals, and the histogram of the words' counts.
+
+    means: the mean count of the words of each step; sizes: how many words it has.
+    """
 
     tokens: int
     words: int
-    states: np.ndarray
-    counts: np.ndarray
-    failure: np.ndarray
+    means: np.ndarray
+    sizes: np.ndarray
 
     def unigram(self, counts: np.ndarray) -> np.ndarray:
         return (counts + 0.5) / (self.tokens + 0.5 * (self.words + 1))
 
-    def state_of(self, tokens: np.ndarray) -> np.ndarray:
-        """The number of each token's state, -1 for the root."""
-        if not len(self.states):
-            return np.full(len(tokens), -1)
-        at = np.minimum(np.searchsorted(self.states, tokens), len(self.states) - 1)
-        return np.where(self.states[at] == tokens, at, -1)
-
-    def arcs(self, tokens: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For each token: the state before it; and where that is not the root, the places and the pairs' hashes."""
-        state = self.state_of(tokens.prev)
-        places = np.flatnonzero(state >= 0)
-        pairs = mix(tokens.prev[places] * np.uint64(0x9E3779B97F4A7C15) + mix(tokens.hashes[places]))
-        return state, places, pairs
-
-    def traverse(self, state: np.ndarray, places: np.ndarray, words: np.ndarray, pairs: np.ndarray) -> np.ndarray:
-        """log10 of each step's weight. words: counts of the tokens; pairs: counts of the pairs at `places`."""
+    def failure_of(self, counts: np.ndarray) -> np.ndarray:
+        """The failure weights of histories with these counts."""
+        distinct, at = np.unique(counts, return_inverse=True)
+        # Different words expected among c tokens drawn from the corpus.
+        expected = np.zeros(len(distinct))
+        for mean, size in zip(self.means, self.sizes):
+            expected += size * -np.expm1(distinct * np.log1p(-min(mean / self.tokens, 1 - 1e-12)))
+        return (expected / np.maximum(distinct + expected, 1e-12))[at]
+
+    def traverse(self, histories: np.ndarray, words: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+        """log10 of each step's weight, from the counts of the word before, the token and the pair of both."""
         weight = self.unigram(words)
-        own = state[places]
-        failure = self.failure[own]
-        arc = (1 - failure) * pairs / np.maximum(self.counts[own], 1)
-        weight[places] = arc + failure * weight[places]
-        return np.log10(weight)
+        failure = self.failure_of(histories)
+        arc = (1 - failure) * pairs / np.maximum(histories, 1)
+        # A word that was never learned is no state: the step starts at the root.
+        return np.log10(np.where(histories > 0, arc + failure * weight, weight))
 
 
-def learn(vocabulary: DataFrame, share: float = STATE_SHARE) -> Automaton:
-    """Totals, states and failure weights from the stored word counts. Runs jobs; a histogram
-    of counts and at most 1 / share words reach the driver."""
+@dataclass(frozen=True)
+class ListedAutomaton(Automaton):
+    """With the states' hashes, counts and failure weights, in the order of the hashes."""
+
+    states: np.ndarray
+    counts: np.ndarray
+    failure: np.ndarray
+
+
+def fit(vocabulary: DataFrame) -> Automaton:
+    """The model of the stored word counts. Runs a job; a histogram of counts reaches the driver."""
 
     def histogram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -199,26 +213,21 @@ def learn(vocabulary: DataFrame, share: float = STATE_SHARE) -> Automaton:
                 yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(number[some]), pa.array(total[some])], names=["step", "words", "tokens"])
 
     steps = vocabulary.select("counts").mapInArrow(histogram, "step int, words bigint, tokens bigint")
-    spectrum = steps.groupBy("step").agg(F.sum("words").alias("words"), F.sum("tokens").alias("tokens")).collect()
-    tokens, words = sum(r["tokens"] for r in spectrum), sum(r["words"] for r in spectrum)
-    least = max(1.0, share * tokens)
-
-    def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for keys, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                k, c = np.frombuffer(keys, dtype=np.int64), np.frombuffer(counts, dtype=np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(k[c >= least]), pa.array(c[c >= least])], names=["word", "count"])
-
-    rows = vocabulary.select("words", "counts").mapInArrow(frequent, "word bigint, count bigint").collect()
-    states = np.array([r["word"] for r in rows], dtype=np.int64).view(np.uint64)
+    spectrum = steps.groupBy("step").agg(F.sum("words").alias("words"), F.sum("tokens").alias("tokens")).orderBy("step").collect()
+    sizes = np.array([r["words"] for r in spectrum], dtype=np.int64)
+    totals = np.array([r["tokens"] for r in spectrum], dtype=np.int64)
+    return Automaton(int(totals.sum()), int(sizes.sum()), totals / np.maximum(sizes, 1), sizes)
+
+
+def learn(vocabulary: DataFrame) -> ListedAutomaton:
+    """The model with a list of all its states, to look into that of a small corpus: all words
+    reach the driver. Scoring needs no list and does not call this. Runs jobs."""
+    model = fit(vocabulary)
+    rows = vocabulary.select("words", "counts").collect()
+    states = np.concatenate([np.frombuffer(r["words"], dtype=np.uint64) for r in rows] + [np.zeros(0, dtype=np.uint64)])
+    counts = np.concatenate([np.frombuffer(r["counts"], dtype=np.int64) for r in rows] + [np.zeros(0, dtype=np.int64)])
     by = np.argsort(states)
-    counts = np.array([r["count"] for r in rows], dtype=np.int64)[by]
-    # Different words expected among c tokens drawn from the corpus.
-    expected = np.zeros(len(counts))
-    for r in spectrum:
-        mean = r["tokens"] / r["words"] / tokens
-        expected += r["words"] * -np.expm1(counts * np.log1p(-min(mean, 1 - 1e-12)))
-    return Automaton(tokens, words, states[by], counts, expected / np.maximum(counts + expected, 1e-12))
+    return ListedAutomaton(model.tokens, model.words, model.means, model.sizes, states[by], counts[by], model.failure_of(counts[by]))
 
 
 def score_texts(df: DataFrame, train: Column, text: str = "text", keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -241,22 +250,21 @@ def score_texts(df: DataFrame, train: Column, text: str = "text", keys: tuple[st
     buckets = max(LEAST_GROUPS, -(-count // TEXTS_OF_BUCKET))
     with small_batches(spark):
         vocabulary = count_words(rows.filter("train").select("text"), buckets)
-    automaton = learn(vocabulary)
-    shared = spark.sparkContext.broadcast(automaton)
+    shared = spark.sparkContext.broadcast(fit(vocabulary))
     dealt = rows.withColumn("block", F.pmod(F.xxhash64(*names, "text"), F.lit(blocks)).cast("int"))
 
     def needs(tokens: Tokens):
         """What a block asks for, the same in both passes over it."""
-        state, places, pairs = shared.value.arcs(tokens)
+        pairs = mix(tokens.prev * np.uint64(0x9E3779B97F4A7C15) + mix(tokens.hashes))
         words, word_at = np.unique(tokens.hashes, return_inverse=True)
         distinct, pair_at = np.unique(pairs, return_inverse=True)
-        return state, places, words, word_at, distinct, pair_at
+        return words, word_at, distinct, pair_at
 
     def ask(table: pa.Table) -> pa.Table:
         tokens = all_tokens(table["text"].combine_chunks())
-        state, places, words, _, pairs, pair_at = needs(tokens)
-        learned = tokens.spread(table["train"].combine_chunks().to_numpy(zero_copy_only=False))[places]
-        counts = np.bincount(pair_at, weights=learned, minlength=len(pairs)).astype("<u4")
+        words, _, pairs, pair_at = needs(tokens)
+        learned = tokens.spread(table["train"].combine_chunks().to_numpy(zero_copy_only=False))
+        counts = _narrow(np.bincount(pair_at, weights=learned, minlength=len(pairs)).astype(np.int64))
         block = table["block"][0].as_py()
         tables = []
         for keys_, extra in ((words, None), (pairs, counts)):
@@ -280,10 +288,10 @@ def score_texts(df: DataFrame, train: Column, text: str = "text", keys: tuple[st
         words, counts = _joined(known["words"], np.uint64), _joined(known["counts"], np.int64)
         of_pairs = asked["counts"].is_valid().to_numpy()
         keys = [np.frombuffer(x, dtype=np.uint64) for x in asked["keys"].to_pylist()]
-        own = [None if x is None else np.frombuffer(x, dtype="<u4") for x in asked["counts"].to_pylist()]
+        own = [None if x is None else _widened(x, len(k)) for x, k in zip(asked["counts"].to_pylist(), keys)]
         pair_rows = np.flatnonzero(of_pairs).tolist()
         if pair_rows:
-            pairs, totals = _sum_by_key(np.concatenate([keys[i] for i in pair_rows]), np.concatenate([own[i] for i in pair_rows]).astype(np.int64))
+            pairs, totals = _sum_by_key(np.concatenate([keys[i] for i in pair_rows]), np.concatenate([own[i] for i in pair_rows]))
         out = []
         for i, key in enumerate(keys):
             if of_pairs[i]:
@@ -293,23 +301,26 @@ def score_texts(df: DataFrame, train: Column, text: str = "text", keys: tuple[st
                 found = np.where(words[at] == key, counts[at], 0)
             else:
                 found = np.zeros(len(key), dtype=np.int64)
-            out.append(found.astype("<i8").tobytes())
+            out.append(_narrow(found).tobytes())
         bucket = asked["bucket"]
         return pa.table({"block": asked["block"], "bucket": bucket, "counts": pa.array(out, pa.binary()), "of_pairs": pa.array(of_pairs)})
 
     def score(table: pa.Table, answers: pa.Table) -> pa.Table:
         model = shared.value
         tokens = all_tokens(table["text"].combine_chunks())
-        state, places, words, word_at, pairs, pair_at = needs(tokens)
+        words, word_at, pairs, pair_at = needs(tokens)
         found = []
         for wanted, keys_ in ((False, words), (True, pairs)):
             own = answers.filter(pa.compute.equal(answers["of_pairs"], wanted)).sort_by("bucket")
-            by, _, _ = _dealt(keys_, buckets)
+            by, _, at = _dealt(keys_, buckets)
             counts = np.zeros(len(keys_), dtype=np.int64)
-            counts[by] = _joined(own["counts"], "<i8")
+            counts[by] = np.concatenate([_widened(x, n) for x, n in zip(own["counts"].to_pylist(), np.diff(at).tolist())])
             found.append(counts)
         word_counts = found[0][word_at]
-        steps = model.traverse(state, places, word_counts, found[1][pair_at])
+        # The word before a token is the token before it, or END: one of the same words.
+        histories = np.roll(word_counts, 1)
+        histories[tokens.begins] = found[0][np.searchsorted(words, END)]
+        steps = model.traverse(histories, word_counts, found[1][pair_at])
         columns = {n: table[n] for n in names}
         columns["n_tokens"] = pa.array(np.diff(np.append(tokens.begins, len(tokens.hashes))))
         columns["n_known"] = pa.array(tokens.per_text((word_counts > 0).astype(np.int64)))
