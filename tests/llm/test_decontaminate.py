@@ -73,3 +73,67 @@ def test_overlap_is_the_best_stretch():
     assert decontaminate.overlap(a, b, 0) == (9 - decontaminate.PENALTY, 9, 0, 10)
     assert decontaminate.overlap(a, b, 20)[0] == 0
     assert decontaminate.overlap(a[3:], a, -3) == (7.0, 7, 0, 7)
+
+
+def best_without_seeds(seeds, longest):
+    """The best score of a row of matches and changes that avoids all seeds; longest: of at most
+    so many words, or None for any number."""
+    import numpy as np
+
+    width = max(int(m[-1]) + 1 for m in seeds) - 1
+    state = np.arange(1 << width)  # the last words, 1 for a match
+    window = state << 1 | 1
+    patterns = [sum(1 << int(m[-1] - offset) for offset in m) for m in seeds]
+    hit = np.any([(window & p) == p for p in patterns], axis=0)
+    before = [state >> 1, state >> 1 | (1 << width) >> 1]
+    match = state & 1 == 1
+    best = np.where(state == 0, 0.0, -np.inf)
+    for _ in range(longest or 5000):
+        came = np.maximum(*[np.where(match & hit[b], -np.inf, best[b]) for b in before])
+        longer = np.maximum(best, came + np.where(match, 1.0, -decontaminate.PENALTY))
+        if longest is None and (longer == best).all():
+            return best.max()  # no longer row is better
+        best = longer
+    return best.max() if longest else np.inf
+
+
+def test_no_overlap_of_the_needed_score_avoids_the_seeds():
+    needed = lambda n: min(decontaminate.NEEDED, decontaminate.SHARE * n)
+    for n in range(decontaminate.SHORTEST, 21):
+        short = n < decontaminate.SPACED_FROM
+        masks = decontaminate.masks_for([n] if short else [])
+        seeds = masks[len(decontaminate.MASKS) :] if short else masks
+        assert best_without_seeds(seeds, n) < needed(n), n
+    assert best_without_seeds(decontaminate.masks_for([]), None) < decontaminate.NEEDED
+
+
+def test_changed_and_partial_items_are_those_of_a_search_of_all_places(spark):
+    import numpy as np
+
+    rng = random.Random(44)
+    items = [rng.sample(range(3000), n) for n in range(5, 21) for _ in range(2)]
+    texts = []
+    for item in items:
+        for changes in (0, 1, 1, 2, 2, 3, 3):
+            copy = list(item)
+            for place in rng.sample(range(len(item)), changes):
+                copy[place] = rng.randrange(3000, 6000)
+            texts.append(rng.choices(range(6000, 9000), k=7) + copy + rng.choices(range(6000, 9000), k=7))
+        for size in (10, 11):
+            if len(item) > size:
+                begin = rng.randrange(len(item) - size + 1)
+                texts.append(rng.choices(range(6000, 9000), k=4) + item[begin : begin + size] + rng.choices(range(6000, 9000), k=4))
+    for places in ((1, 3), (0, 1), (6, 8), (4, 9), (11, 13)):
+        texts.append([9000 + i if i in places else w for i, w in enumerate(items[20])])
+
+    def best(text):
+        rows = [np.array(x, dtype=np.uint64) for x in (text, *items)]
+        found = [max(decontaminate.overlap(rows[0], r, s)[0] for s in range(-len(r) + 1, len(text))) for r in rows[1:]]
+        fit = [(-f, k) for k, f in enumerate(found) if f >= min(10.0, 0.75 * len(items[k]))]
+        return (min(fit)[1], -min(fit)[0]) if fit else (None, None)
+
+    words = lambda row: " ".join(f"w{i}" for i in row)
+    docs = spark.createDataFrame([(i, words(t)) for i, t in enumerate(texts)], "doc_id int, text string")
+    bench = spark.createDataFrame([(k, words(r)) for k, r in enumerate(items)], "item_id int, text string")
+    out = {r["doc_id"]: (r["item_id"], r["score"]) for r in decontaminate.find_overlaps(docs, bench).collect()}
+    assert out == {i: best(t) for i, t in enumerate(texts)}

@@ -1,14 +1,20 @@
 """Passages of a benchmark in training texts, found with spaced seeds.
 
-A seed is a fixed mask over SPAN successive words that looks at some positions and ignores
+A seed is a fixed mask over successive words that looks at some positions and ignores
 the others, so a changed word spoils only the seeds that look at it. The hashes of all
 seeds of the benchmark are joined with those of the texts; a hit places an item against a
 text, and there the words are compared one by one: a match counts 1, a changed word
 costs PENALTY, and the best stretch must reach the needed score.
+
+No stretch that reaches it is without a hit. Of items with SPACED_FROM words or more, every
+row of matches and changes that avoids all MASKS stays below the needed score (shown over
+all such rows, of any length, in the tests). A shorter item cannot afford a changed word,
+as n - 1 - PENALTY < SHARE * n, so its seeds are runs of as many words as it needs.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,9 +29,10 @@ from yieldwatch.llm.jaccard import small_batches
 from yieldwatch.llm.words import Words, mix, power, words_of
 from yieldwatch.sources.scratch import settle
 
-SPAN = 12
-# 1 marks a position that counts. Each mask looks at seven of twelve words.
-MASKS = ["111010010111", "110100110111", "111001101011", "110110011011"]
+# 1 marks a position that counts. Each mask looks at five words.
+MASKS = ["110010101", "111001001", "11010100001", "11000010011", "11110001"]
+#: Items with fewer words are looked up by runs of words.
+SPACED_FROM = 10
 #: An item with fewer words is too short to say anything and matches nothing.
 SHORTEST = 5
 PENALTY = 1.5
@@ -34,24 +41,26 @@ NEEDED = 10.0
 SHARE = 0.75
 
 
-def masks_for(short_lengths: list[int]) -> list[np.ndarray]:
-    """The positions of all masks; items shorter than SPAN are looked up as a whole."""
-    spaced = [np.flatnonzero([c == "1" for c in m]) for m in MASKS]
-    return spaced + [np.arange(n) for n in short_lengths]
+def run_of(count: int) -> int:
+    """The words in a row that an item with `count` words, fewer than SPACED_FROM, needs."""
+    return math.ceil(SHARE * count)
 
 
-def _spans(masks: list[np.ndarray]) -> list[int]:
-    return [SPAN] * len(MASKS) + [len(m) for m in masks[len(MASKS) :]]
+def masks_for(short_lengths: list[int]) -> list[np.ndarray]:
+    """The positions of all masks, and of the runs for items of these lengths below SPACED_FROM."""
+    spaced = [np.flatnonzero([c == "1" for c in m]) for m in MASKS]
+    return spaced + [np.arange(n) for n in sorted({run_of(n) for n in short_lengths})]
 
 
 def seeds_of(words: Words, masks: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(hashes, first words) of each mask at every place where its span fits inside a text."""
     end = np.repeat(words.offsets[1:], words.counts)
     at = np.arange(len(words.hashes))
-    powers = power(SPAN + 2)
-    for number, (mask, span) in enumerate(zip(masks, _spans(masks))):
-        places = at[at + span <= end]
-        total = np.full(len(places), np.uint64((span * 64 + min(number, len(MASKS))) * 0x2545F4914F6CDD1D % 2**64))
+    for mask in masks:
+        places = at[at + int(mask[-1]) < end]
+        powers = power(len(mask) + 1)
+        name = sum(1 << int(offset) for offset in mask)
+        total = np.full(len(places), np.uint64(name * 0x2545F4914F6CDD1D % 2**64))
         for k, offset in enumerate(mask):
             total += words.hashes[places + offset] * powers[k + 1]
         yield mix(total), places
@@ -101,10 +110,10 @@ def seed_table(items: DataFrame, masks: list[np.ndarray]) -> DataFrame:
             words = _words_of_tokens(batch.column(1).to_pylist())
             item = batch.column(0).to_numpy()
             owner = words.text_of_word()
+            needs = np.array([run_of(n) if n < SPACED_FROM else 0 for n in words.counts.tolist()], dtype=np.int64)
             for number, (hashes, places) in enumerate(seeds_of(words, masks)):
-                if number >= len(MASKS):  # whole items only
-                    whole = words.counts[owner[places]] == len(masks[number])
-                    hashes, places = hashes[whole], places[whole]
+                own = needs[owner[places]] == (len(masks[number]) if number >= len(MASKS) else 0)
+                hashes, places = hashes[own], places[own]
                 at = (places - words.offsets[owner[places]]).astype(np.int32)
                 columns = [pa.array(hashes.view(np.int64)), pa.array(item[owner[places]]), pa.array(at)]
                 yield pa.RecordBatch.from_arrays(columns, names=["hash", "item", "item_at"])
@@ -200,8 +209,8 @@ def _verdicts(df: DataFrame, benchmark: DataFrame, text: str, key: str, item_tex
     spark = df.sparkSession
     with small_batches(spark):
         items = item_table(benchmark, item_text, item_key)
-        lengths = items.select((F.octet_length("tokens") / 8).cast("int").alias("n")).filter(F.col("n") < SPAN).distinct()
-        masks = masks_for(sorted(row["n"] for row in lengths.collect()))  # fewer than SPAN rows
+        lengths = items.select((F.octet_length("tokens") / 8).cast("int").alias("n")).filter(F.col("n") < SPACED_FROM).distinct()
+        masks = masks_for(sorted(row["n"] for row in lengths.collect()))  # fewer than SPACED_FROM rows
         seeds = seed_table(items, masks)
         bits = spark.sparkContext.broadcast(bloom.build(seeds, "hash"))
         scanned = scan(df, text, key, masks, bits)
