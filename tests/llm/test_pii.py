@@ -45,3 +45,25 @@ def test_masking_and_clashing_columns(spark):
     masked = {r["id"]: r["text"] for r in out.collect()}
     assert masked == {0: "é write <EMAIL> or <IP>!", 1: "call <PHONE> now", 2: None, 3: "clean", 4: "<EMAIL>"}
     assert pii.find(df.limit(0)).count() == 0
+
+
+def test_context_reaches_over_other_matches_of_the_kind(spark):
+    many = "taxpayer " + " ".join(f"123-45-678{i}" for i in range(5))
+    out = found(spark, ["SSNs: 123-45-6789, 321-54-9876", "ssn 123-45-6789 " + "x" * 40 + " 321-54-9876", many, "123-45-6789 321-54-9876 is an ssn"])
+    assert out[0] == [("ssn", 6, 17), ("ssn", 19, 30)]
+    assert out[1] == [("ssn", 4, 15)]
+    # The word lies 40 code points or less before the first three.
+    assert out[2] == [("ssn", 9, 20), ("ssn", 21, 32), ("ssn", 33, 44)]
+    assert out[3] == [("ssn", 0, 11), ("ssn", 12, 23)]
+
+
+def test_words_after_account_numbers_are_not_their_groups(spark):
+    iban = "BE68 5390 0754 7034"
+    texts = [f"{iban}{rest}" for rest in ("", " IT", " PLEASE", " Please", " 1234", " MORE THAN EVER SEEN", "X", " A1B2C3")]
+    texts += [f"{iban} {iban}", "BE68539007547034 GB82WEST12345698765432 OK", "BE69 5390 0754 7034 IT"]
+    out = found(spark, texts)
+    for i in (0, 1, 2, 3, 4, 5, 7):
+        assert [s for s in out[i] if s[0] == "iban"] == [("iban", 0, 19)], texts[i]
+    assert [s for s in out[6] if s[0] == "iban"] == [s for s in out[10] if s[0] == "iban"] == []
+    assert [s for s in out[8] if s[0] == "iban"] == [("iban", 0, 19), ("iban", 20, 39)]
+    assert [s for s in out[9] if s[0] == "iban"] == [("iban", 0, 16), ("iban", 17, 39)]

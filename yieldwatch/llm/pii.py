@@ -1,8 +1,8 @@
 """Personal data in texts: patterns propose spans, checksums confirm them, context scores them.
 
 Everything is a column expression. A text is cut at the matches of a pattern; the lengths
-of the pieces and matches give the positions in code points, and the ends of the pieces are
-the context. The patterns never try a start again that is known to fail, and their loops
+of the pieces and matches give the positions in code points, and the pieces and matches on
+either side, put together again, are the context. The patterns never try a start again that is known to fail, and their loops
 keep no way back, so the time stays in proportion to the text.
 """
 
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from yieldwatch.llm.columns import free_name, without
 
 CONTEXT = 40  # code points looked at on either side
+ACCOUNT = 38  # most code points of an account number after its first four, with spaces
 KEEP = 0.5  # spans of the kinds that are not always kept need this score
 
 _LOCAL = "[A-Za-z0-9._%+-]"
@@ -41,7 +42,8 @@ KINDS = [
     Kind("ip", r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", True, 0.6, r"\bip\b|server|host|address|adresse|login", "."),
     Kind("card", r"[0-9](?:[\x20-]?[0-9])++", True, 0.8, "card|visa|master|credit|karte|carte|tarjeta"),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", True, 0.6, r"phone|\btel\b|call|mobile|fax|telefon|appel|tel[eé]fono", "+"),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}+(?:\x20?[A-Z0-9]{1,3})?+(?![A-Za-z0-9])", False, 0.7, "iban|bank|account|konto|compte|cuenta"),
+    # The beginning alone; _account finds the end, as the words after it may look like groups.
+    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=\x20?[A-Z0-9]{4})", False, 0.7, "iban|bank|account|konto|compte|cuenta"),
     Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", False, 0.3, "ssn|social security|tax id|taxpayer", "-"),
 ]
 BASE_KINDS = [kind.name for kind in KINDS if kind.always]
@@ -80,13 +82,54 @@ def _valid(kind: str, found: Column) -> Column:
     if kind == "phone":
         return F.length(digits).between(8, 15)
     if kind == "iban":
-        code = F.replace(found, F.lit(" "), F.lit(""))
-        return F.when(F.length(code).between(15, 34), mod97(code)).otherwise(False)
+        return found.isNotNull()
     if kind == "ssn":
         return ~found.rlike("^(?:000|666|9)|-00-|-0000$")
     return F.lit(True)
 
 
+def _bound(value: Column, use) -> Column:
+    """use(value), with the value computed once however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _account(begin: Column, rest: Column) -> Column:
+    """The longest valid account number that starts with `begin` and goes on in `rest`, or null."""
+
+    def ends(rest: Column, size: Column) -> Column:
+        groups = F.substr(rest, F.lit(1), size)
+        code = F.replace(F.concat(begin, groups), F.lit(" "), F.lit(""))
+        shaped = groups.rlike(r"^(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?\z") & ~F.substr(rest, size + 1, F.lit(1)).rlike("[A-Za-z0-9]")
+        return F.when((F.length(groups) == size) & shaped & F.length(code).between(15, 34), mod97(code)).otherwise(False)
+
+    sizes = F.sequence(F.lit(ACCOUNT), F.lit(8), F.lit(-1))
+    size = _bound(rest, lambda r: F.get(F.filter(sizes, lambda n: ends(r, n)), F.lit(0)))
+    return F.when(size.isNotNull(), F.concat(begin, F.substr(rest, F.lit(1), size)))
+
+
+def _before(cuts: Column, i: Column, size: int) -> Column:
+    """The last `size` code points before match i, whatever matches lie in them."""
+    own = F.substring(F.get(cuts["pieces"], i), -size, size)
+
+    def one(j: Column) -> Column:
+        return F.substring(F.concat(F.coalesce(F.get(cuts["found"], j - 1), F.lit("")), F.get(cuts["pieces"], j)), -size, size)
+
+    # A match has two code points at least.
+    some = F.transform(F.sequence(F.greatest(i - size // 2, F.lit(0)), i), one)
+    return F.when(F.length(own) >= size, own).otherwise(F.substring(F.array_join(some, ""), -size, size))
+
+
+def _after(cuts: Column, i: Column, size: int) -> Column:
+    """The first `size` code points after match i, whatever matches lie in them."""
+    own = F.substring(F.get(cuts["pieces"], i + 1), 1, size)
+
+    def one(j: Column) -> Column:
+        return F.substring(F.concat(F.get(cuts["pieces"], j + 1), F.coalesce(F.get(cuts["found"], j + 1), F.lit(""))), 1, size)
+
+    some = F.transform(F.sequence(i, F.least(i + size // 2, F.size(cuts["found"]) - 1)), one)
+    return F.when(F.length(own) >= size, own).otherwise(F.substring(F.array_join(some, ""), 1, size))
+
+
 def _running(values: Column) -> Column:
     """Running sums of an array, block by block, so that long arrays are not copied for every element."""
     block = 128
@@ -145,15 +188,23 @@ def find(df: DataFrame, text: str = "text", out: str = "pii") -> DataFrame:
         cuts = F.col(work)[kind.name]
         count = F.size(cuts["found"])
         starts = F.slice(_running(cuts["gaps"]), F.lit(1), count)
-        rows = F.arrays_zip(
-            cuts["found"].alias("found"),
-            starts.alias("start"),
-            F.slice(cuts["pieces"], F.lit(1), count).alias("before"),
-            F.slice(cuts["pieces"], F.lit(2), count).alias("after"),
-        )
+        numbers = F.sequence(F.lit(0), F.greatest(count - 1, F.lit(0)))
+        rows = F.arrays_zip(cuts["found"].alias("found"), starts.alias("start"), numbers.alias("i"))
+        begin = 0
+        if kind.name == "iban":
+            begin = 4
+
+            def completed(row: Column) -> Column:
+                whole = _account(row["found"], _after(cuts, row["i"], ACCOUNT + 1))
+                return F.struct(whole.alias("found"), row["start"].alias("start"), row["i"].alias("i"))
+
+            rows = F.transform(rows, completed)
 
         def scored(row: Column) -> Column:
-            near = F.concat_ws(" ", F.substring(row["before"], -CONTEXT, CONTEXT), F.substring(row["after"], 1, CONTEXT))
+            after = _after(cuts, row["i"], CONTEXT)
+            if begin:
+                after = F.substr(_after(cuts, row["i"], ACCOUNT + CONTEXT), F.length(row["found"]) - begin + 1, F.lit(CONTEXT))
+            near = F.concat_ws(" ", _before(cuts, row["i"], CONTEXT), after)
             score = F.lit(kind.prior) + F.when(F.lower(near).rlike(kind.near), F.lit(0.3)).otherwise(F.lit(0.0))
             return F.struct(
                 F.lit(kind.name).alias("kind"),
@@ -166,6 +217,13 @@ def find(df: DataFrame, text: str = "text", out: str = "pii") -> DataFrame:
         valid = F.transform(F.filter(rows, lambda row: _valid(kind.name, row["found"])), scored)
         kept = valid if kind.always else F.filter(valid, lambda span: span["score"] >= KEEP)
         none = F.array().cast("array<struct<kind:string,start:int,end:int,score:double,checked:boolean>>")
+        if kind.name == "iban":
+
+            def apart(spans: Column, span: Column) -> Column:
+                inside = F.coalesce(span["start"] < F.get(spans, F.size(spans) - 1)["end"], F.lit(False))
+                return F.when(inside, spans).otherwise(F.concat(spans, F.array(span)))
+
+            kept = F.aggregate(kept, none, apart)
         return F.when(count > 0, kept).otherwise(none)
 
     return staged.select(*columns, F.concat(*[spans(kind) for kind in KINDS]).alias(out))
