@@ -88,3 +88,21 @@ def test_clashing_columns_and_empty_tables(spark, links):
     assert out.columns == ["page_id", "url", "_key", "rule_host", "host", "path", "rule", "rule_verdict", "verdict"]
     assert out.first()["verdict"] == "block"
     assert urls.judge_urls(df.limit(0), rules, edges).count() == 0
+
+
+def test_relative_targets_are_completed(spark):
+    from urllib.parse import urljoin
+
+    base = "https://a.org/d/e/p.html?q=2#top"
+    targets = ["page.html", "./x", "../x", "?p=1", "#there", "/r/../s", "//c.net/es/", "http://z.net/es/", "../../../u/", "..", "x/./y?z=../w", "."]
+    pages = [(base, f'<head><link rel="alternate canonical" href="{t}"></head>') for t in targets]
+    pages += [("https://b.org", '<head><meta http-equiv="refresh" content="0; url=es/1"></head>'), (base, '<head><link rel="next" href="n"></head>')]
+    found = {(r["source"], r["target"]) for r in urls.page_links(spark.createDataFrame(pages, "url string, html string")).collect()}
+    assert found == {(base, urljoin(base, t)) for t in targets} | {("https://b.org", "https://b.org/es/1")}
+
+
+def test_decisions_reach_aliases_over_relative_links(spark):
+    rows = [(0, "http://a.net/es/1", '<head><link rel="next canonical" href="../2"></head>'), (1, "http://a.net/2", "")]
+    df = spark.createDataFrame(rows, "page_id int, url string, html string")
+    out = urls.judge_urls(df.drop("html"), urls.rules_frame(spark, RULES), urls.page_links(df))
+    assert {r["page_id"]: r["verdict"] for r in out.collect()} == {0: "block", 1: "block"}

@@ -22,6 +22,7 @@ Rule = tuple[str, str, str]  # verdict, host, path prefix
 
 # Query parameters that only say where a visitor came from.
 TRACKING = r"(?i)^(?:utm_[a-z]+|ref|fbclid|gclid)(?:=|$)"
+CANONICAL = r"(?is)<link\b[^>]*\brel=(?:[\"'](?:[^\"'>]*\s)?canonical\b|canonical\b)[^>]*>"
 
 
 def _lower(text: Column) -> Column:
@@ -53,20 +54,44 @@ def alias_key(url: Column) -> Column:
     return F.when(host != "", key)
 
 
+def _without_dots(path: Column) -> Column:
+    """A path that starts with `/`, with its `.` and `..` segments followed."""
+    segments = F.split(path, "/")
+
+    def step(done: Column, segment: Column) -> Column:
+        up = F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))
+        return F.when(segment == ".", done).when(segment == "..", up).otherwise(F.concat(done, F.array(segment)))
+
+    kept = F.aggregate(F.slice(segments, F.lit(2), F.size(segments)), F.array().cast("array<string>"), step)
+    closing = F.when(F.element_at(segments, -1).isin(".", "..") & (F.size(kept) > 0), "/").otherwise("")
+    return F.concat(F.lit("/"), F.array_join(kept, "/"), closing)
+
+
+def resolve(target: Column, url: Column) -> Column:
+    """The address that `target` means on the page `url`, also where it is relative."""
+    start = F.regexp_extract(url, r"(?s)^[^/?#]*://[^/?#]*", 0)
+    path = F.regexp_extract(target, r"(?s)^[^?#]*", 0)
+    rest = F.substr(target, F.length(path) + 1)
+    folder = F.regexp_extract(path_of(url), r"(?s)^.*/", 0)
+    rooted = F.when(path.startswith("/"), path).otherwise(F.concat(F.when(folder == "", "/").otherwise(folder), path))
+    whole = F.when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), target)
+    whole = whole.when(target.startswith("//"), F.concat(F.regexp_extract(start, "^[^:]*:", 0), target))
+    whole = whole.when(target.startswith("#"), F.concat(F.regexp_extract(url, r"(?s)^[^#]*", 0), target))
+    whole = whole.when(target.startswith("?"), F.concat(start, path_of(url), target))
+    return whole.otherwise(F.concat(start, _without_dots(rooted), rest))
+
+
 def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """(source, target): the canonical link and the refresh redirect that a page's head names.
 
-    A target that starts with `/` is completed by the page's scheme and host.
+    Relative targets are completed by the page's address. canonical may be any word of rel.
     """
     head = F.get(F.split(F.col(html), r"(?i)</head>|<body\b", 2), F.lit(0))
-    canonical = F.regexp_extract(F.regexp_extract(head, r"(?is)<link\b[^>]*\brel=[\"']?canonical\b[^>]*>", 0), r"(?is)\bhref=[\"']?([^\"'\s>]+)", 1)
+    canonical = F.regexp_extract(F.regexp_extract(head, CANONICAL, 0), r"(?is)\bhref=[\"']?([^\"'\s>]+)", 1)
     refresh = F.regexp_extract(F.regexp_extract(head, r"(?is)<meta\b[^>]*\bhttp-equiv=[\"']?refresh\b[^>]*>", 0), r"(?is)\burl=[\"']?([^\"'\s>]+)", 1)
-    start = F.regexp_extract(F.col(url), r"(?s)^[^/?#]*://[^/?#]*", 0)
-    links = pages.select(F.col(url).alias("source"), start.alias("start"), F.explode(F.array(canonical, refresh)).alias("target"))
+    links = pages.select(F.col(url).alias("source"), F.explode(F.array(canonical, refresh)).alias("target"))
     target = F.replace("target", F.lit("&amp;"), F.lit("&"))
-    whole = F.when(target.startswith("//"), F.concat(F.regexp_extract("start", "^[^:]*:", 0), target))
-    whole = whole.when(target.startswith("/"), F.concat(F.col("start"), target)).otherwise(target)
-    return links.filter(F.col("target") != "").select("source", whole.alias("target"))
+    return links.filter(F.col("target") != "").select("source", resolve(target, F.col("source")).alias("target"))
 
 
 def rules_frame(spark, rules: Sequence[Rule]) -> DataFrame:
