@@ -236,3 +236,87 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = documents.withColumn("held_out", crc_mod(5) == 1)
     scored = scoring.score_texts(documents, ~F.col("held_out"), keys=("doc_id", "held_out"))
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+# 13 -----------------------------------------------------------------------------------
+
+
+# The recursion over levels, pairs (proofs) and steps (folding); crc32 bit by bit.
+MERKLE_SQL = r"""
+WITH RECURSIVE fields AS (
+  SELECT doc_id, lang, n_chars,
+         coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+           || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+         coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS kept,
+         coalesce(strlen((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1), '-') AS changed,
+         coalesce(strlen(text) || ':' || text, '-') AS tail,
+         xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::UBIGINT)),
+             lambda a, c: list_reduce(list_prepend(xor(a, c), [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]),
+               lambda x, y: xor(x >> 1, (x & 1) * 3988292384))), 4294967295::UBIGINT) AS crc
+  FROM documents),
+leaves AS (
+  SELECT doc_id, lang, sha256(head || kept || tail) AS leaf,
+         sha256(head || CASE WHEN crc % 7 = 0 THEN changed ELSE kept END || tail) AS shown,
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS i,
+         count(*) OVER (PARTITION BY lang) AS size
+  FROM fields),
+nodes(lang, level, i, digest, size) AS (
+  SELECT lang, 0, i, leaf, size FROM leaves
+  UNION ALL
+  SELECT lang, max(level) + 1, i // 2, sha256(string_agg(digest, '' ORDER BY i)), (max(size) + 1) // 2
+  FROM nodes WHERE size > 1 GROUP BY lang, i // 2),
+trees AS (
+  SELECT lang, digest AS subroot, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS i, count(*) OVER () AS size
+  FROM nodes WHERE size = 1),
+tops(level, i, digest, size) AS (
+  SELECT 0, i, subroot, size FROM trees
+  UNION ALL
+  SELECT max(level) + 1, i // 2, sha256(string_agg(digest, '' ORDER BY i)), (max(size) + 1) // 2
+  FROM tops WHERE size > 1 GROUP BY i // 2),
+walk(doc_id, shown, leaf, lang, level, i, place, size, folded, siblings) AS (
+  SELECT doc_id, shown, leaf, lang, 0, i, 0, size, shown, '' FROM leaves
+  UNION ALL
+  SELECT w.doc_id, w.shown, w.leaf, w.lang,
+         CASE WHEN w.size > 1 THEN w.level + 1 ELSE 0 END,
+         CASE WHEN w.size > 1 THEN w.i // 2 ELSE t.i END,
+         CASE WHEN w.size > 1 THEN w.place ELSE 1 END,
+         CASE WHEN w.size > 1 THEN (w.size + 1) // 2 ELSE t.size END,
+         CASE WHEN w.size = 1 THEN w.folded WHEN w.i % 2 = 0 THEN sha256(w.folded || coalesce(s.digest, p.digest, ''))
+              ELSE sha256(coalesce(s.digest, p.digest, '') || w.folded) END,
+         w.siblings || CASE WHEN w.size = 1 THEN '' ELSE coalesce(s.digest, p.digest, '') END
+  FROM walk w
+  LEFT JOIN nodes s ON w.place = 0 AND w.size > 1 AND s.lang IS NOT DISTINCT FROM w.lang AND s.level = w.level AND s.i = xor(w.i, 1)
+  LEFT JOIN tops p ON w.place = 1 AND w.size > 1 AND p.level = w.level AND p.i = xor(w.i, 1)
+  LEFT JOIN trees t ON w.place = 0 AND w.size = 1 AND t.lang IS NOT DISTINCT FROM w.lang
+  WHERE w.size > 1 OR w.place = 0)
+SELECT w.doc_id, w.leaf, t.subroot, r.digest AS root, sha256(w.siblings) AS proof_sha256, w.folded AS folded_root, w.folded = r.digest AS verified
+FROM walk w JOIN trees t ON t.lang IS NOT DISTINCT FROM w.lang, (SELECT digest FROM tops WHERE size = 1) r
+WHERE w.place = 1 AND w.size = 1
+"""
+
+
+@query("op13_merkle_intervals", MERKLE_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from yieldwatch.llm import merkle
+
+    changed = (crc_mod(7) == 0) & F.col("n_chars").isNotNull()
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    tampered = [(F.col("n_chars") + 1) if f == "n_chars" else f for f in fields]
+    documents = table(spark, sf_dir, "documents").select(
+        "doc_id",
+        "lang",
+        merkle.leaf_digest(fields).alias("leaf"),
+        F.when(changed, merkle.leaf_digest(tampered)).alias("tampered"),
+    )
+    proved = merkle.build(documents, "lang", ["doc_id"], "leaf").leaves
+    folded = merkle.fold(F.coalesce("tampered", "leaf"), F.col("proof"))
+    proved = proved.withColumn("folded_root", folded)
+    return proved.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle.proof_digest(F.col("proof")).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
