@@ -320,3 +320,26 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
         "folded_root",
         (F.col("folded_root") == F.col("root")).alias("verified"),
     )
+
+
+# 11 -----------------------------------------------------------------------------------
+
+
+@query("op11_polarisation_whitening")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from yieldwatch.llm import whitening
+
+    embeddings = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    models = whitening.fit(embeddings)
+    errors = [whitening.identity_error(embeddings, "embedding", width, model) for width, model in models.items()]
+    rows = whitening.transform(embeddings, models).drop("embedding")
+    cells = rows.select("*", F.posexplode(F.arrays_zip("whitened", "explained")).alias("place", "cell"))
+    return cells.select(
+        "vec_id",
+        (F.col("place") + 1).cast("int").alias("component"),
+        "n",
+        F.col("deviation").cast("bigint").alias("deviation"),
+        F.col("cell.whitened").alias("whitened"),
+        F.col("cell.explained").alias("explained"),
+        F.lit(max(errors, default=0.0)).alias("identity_error"),
+    )
