@@ -343,3 +343,14 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("cell.explained").alias("explained"),
         F.lit(max(errors, default=0.0)).alias("identity_error"),
     )
+
+
+# 12 -----------------------------------------------------------------------------------
+
+
+@query("op12_consensus_paths")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from yieldwatch.llm import html
+
+    pages = html.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
