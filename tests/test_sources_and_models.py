@@ -138,7 +138,7 @@ def test_forecast_run_over_all_series(spark, sf):
     clean = fx.rates(spark, sf)
     result = training.train_eval_forecast(clean)
     metrics = result.metrics.toPandas()
-    assert len(metrics) == 10 and set(metrics.model) == {"AR", "TrendSeason"} and (metrics.rmse > 0).all()
+    assert len(metrics) == 10 and set(metrics.model) == {"ARMA", "TrendSeason"} and (metrics.rmse > 0).all()
     n_test = chrono_split(clean).filter("split = 'test'").count()
     assert result.predictions.count() == 2 * n_test
     assert result.best.count() == 5

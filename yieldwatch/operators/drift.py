@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,6 +13,8 @@ from yieldwatch.operators.prefix import prefix_sums
 
 BINS = 10
 THRESHOLD = 0.25
+#: Up to this size of the larger sample the p-value of the two-sample test is exact.
+EXACT_MOST = 10_000
 SIGNIFICANT, STABLE = "Significant", "Stable"
 
 
@@ -122,7 +126,10 @@ def psi(df: DataFrame, features: Sequence[str], split: str = "split", bins: int
 
 
 def ks_statistic(df: DataFrame, features: Sequence[str], split: str = "split") -> DataFrame:
-    """Two-sample Kolmogorov-Smirnov distance per feature, its asymptotic p, and the means."""
+    """Two-sample Kolmogorov-Smirnov distance per feature, its p-value, and the means.
+
+    p is exact where neither sample has more than EXACT_MOST values, asymptotic beyond.
+    """
     values = feature_values(df, features, split)
     counts = values.groupBy("position", "value").agg(
         F.count_if("is_train").alias("n_train"), F.count_if(~F.col("is_train")).alias("n_test")
@@ -138,7 +145,52 @@ def ks_statistic(df: DataFrame, features: Sequence[str], split: str = "split") -
         F.try_divide(F.sum(F.col("value") * F.col("n_test")), F.sum("n_test")).alias("test_mean"),
     )
     n, m = F.col("n_train").cast("double"), F.col("n_test").cast("double")
-    return stats.withColumn("feature", _feature_name(features)).drop("position").withColumn("p_value", _kolmogorov_tail(F.col("ks") * F.sqrt(n * m / (n + m))))
+    named = stats.withColumn("feature", _feature_name(features)).drop("position")
+    return _with_exact_p(named.withColumn("p_value", _kolmogorov_tail(F.col("ks") * F.sqrt(n * m / (n + m)))), len(features))
+
+
+def exact_ks_p(n: int, m: int, distance: int) -> float:
+    """P(D >= distance / (n m)) for two samples of n and m values from one distribution.
+
+    All orders of the n + m values are equally likely lattice paths. They are walked at once, one
+    value at a time: `near` has the probability of each place that paths come to without
+    having been as far as the distance, and what gets there is added up and left out.
+    """
+    if distance <= 0:
+        return 1.0
+    n, m = sorted((n, m))
+    near, low, reached = np.ones(1), 0, 0.0  # by the number of values of the first sample, from `low` on
+    for place in range(n + m):
+        taken = np.arange(low, low + len(near) + 1)
+        rest = n + m - place
+        after = np.zeros(len(near) + 1)
+        after[:-1] = near * ((m - place) + taken[:-1]) / rest
+        after[1:] += near * (n - taken[:-1]) / rest
+        far = np.abs(taken * (n + m) - (place + 1) * n) >= distance
+        if far.any():
+            reached += float(after[far].sum())
+            after[far] = 0
+        some = np.flatnonzero(after)
+        if not len(some):
+            break
+        near, low = after[some[0] : some[-1] + 1], low + int(some[0])
+    return min(reached, 1.0)
+
+
+def _with_exact_p(stats: DataFrame, count: int) -> DataFrame:
+    """Replace p by the exact one where both samples are small; one row for each of `count` features."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            p = []
+            for row in batch.itertuples():
+                small = row.n_train > 0 and row.n_test > 0 and max(row.n_train, row.n_test) <= EXACT_MOST
+                places = round(row.ks * row.n_train * row.n_test) if small else 0
+                p.append(exact_ks_p(int(row.n_train), int(row.n_test), places) if small else row.p_value)
+            yield batch.assign(p_value=p)
+
+    # Seconds of work for each row: a task for each.
+    return stats.repartition(max(count, 1), "feature").mapInPandas(run, stats.schema)
 
 
 def _kolmogorov_tail(scaled: Column, terms: int = 100) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 from functools import reduce
 
@@ -14,10 +15,17 @@ from pyspark.sql import types as T
 from yieldwatch.functions.scalars import null_if_nan
 from yieldwatch.operators.halo import row_windows
 from yieldwatch.operators.joins import join_null_safe, join_summary
+from yieldwatch.operators.lagged import Lagged, lagged_products
 
 TARGET_MODEL = ("target", "model")
 # 5 % point of the Dickey-Fuller distribution with a constant.
 DICKEY_FULLER_5PCT = -2.86
+# Published response surface of that distribution's p-value (constant, one
+# series): ends of the range, the t where the second polynomial takes over, coefficients.
+SURFACE_LEAST, SURFACE_MOST, SURFACE_TURN = -18.83, 2.74, -1.61
+SURFACE_LOW = (2.1659, 1.4412, 0.038269)
+SURFACE_HIGH = (1.7339, 0.93202, -0.12745, -0.010368)
+MAX_LAGS = 26
 
 
 def squared_error(actual: str = "actual", predicted: str = "predicted") -> Column:
@@ -202,3 +210,76 @@ def _dickey_fuller(moments: np.ndarray, size: int) -> tuple[int, float, float]:
     residual = max(gram[2, 2] - weights @ xy, 0.0) / (n - len(inputs))
     error = np.sqrt(residual * inverse[1, 1])
     return n, float(weights[1]), float(weights[1] / error) if error > 0 else float("nan")
+
+
+def dickey_fuller_p(t: float) -> float:
+    """The p-value of a Dickey-Fuller t with a constant, by the published response surface."""
+    if t > SURFACE_MOST:
+        return 1.0
+    if t < SURFACE_LEAST:
+        return 0.0
+    terms = SURFACE_LOW if t <= SURFACE_TURN else SURFACE_HIGH
+    z = sum(c * t**k for k, c in enumerate(terms))
+    return 0.5 * math.erfc(-z / math.sqrt(2))
+
+
+def lags_by_aic(gram: np.ndarray, max_lags: int) -> tuple[int, int, float] | None:
+    """(n, lags, t): the number of earlier changes with the lowest AIC, and the t of the level.
+
+    All numbers up to `max_lags` are compared on the same rows; no more are tried than
+    Schwert's rule 12 (n / 100)^(1/4) allows. None without enough rows.
+    """
+    terms = Lagged(gram)
+    n, before = terms.n, terms.unit[1]
+    best = None
+    for lags in range(min(max_lags, math.ceil(12 * (n / 100) ** 0.25)) + 1):
+        design = [before, terms.one, *terms.change[1 : lags + 1]]
+        x = np.array(design)
+        xx = x @ terms.gram @ x.T
+        if n <= len(design) or np.linalg.matrix_rank(xx) < len(design):
+            continue
+        weights, rss = terms.regress(terms.change[0], design)
+        if rss <= 0:
+            continue
+        aic = n * math.log(rss / n) + 2 * len(design)
+        if best is None or aic < best[0]:
+            error = math.sqrt(rss / (n - len(design)) * np.linalg.inv(xx)[0, 0])
+            best = (aic, lags, float(weights[0] / error))
+    return (int(round(n)), best[1], best[2]) if best else None
+
+
+def unit_root_test(
+    df: DataFrame,
+    key: str = "series_id",
+    order: str = "date",
+    value: str = "value",
+    daily: bool = False,
+    max_lags: int = MAX_LAGS,
+) -> DataFrame:
+    """Augmented Dickey-Fuller test: (key, n, lags, t_stat, p_value, stationary).
+
+    The number of lags is the one with the lowest AIC, all of them solved from one matrix of
+    products per series. Rows count that have `max_lags` + 1 known rows before them; a series
+    with too few rows has NULLs. `stationary` is p < 0.05. A job stores the means.
+    """
+    products = lagged_products(df, key, order, value, max_lags + 1, daily)
+    kind = df.schema[key].dataType.simpleString()
+
+    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [lags_by_aic(np.asarray(g, dtype=float), max_lags) for g in batch["gram"]]
+            out = pd.DataFrame({"key": batch["key"]})
+            out["n"] = [f[0] if f else None for f in found]
+            out["lags"] = [f[1] if f else None for f in found]
+            out["t_stat"] = [f[2] if f else None for f in found]
+            out["p_value"] = [dickey_fuller_p(f[2]) if f else None for f in found]
+            yield out
+
+    tested = products.select(F.col(key).alias("key"), "gram").mapInPandas(
+        solve, f"key {kind}, n bigint, lags int, t_stat double, p_value double"
+    )
+    # A series that has no row with enough known ones before it is not in the products.
+    series = df.select(F.col(key)).distinct()
+    joined = join_null_safe(series, tested.withColumnRenamed("key", key), [key], "left")
+    # Fixed value: 5 % level of the test.
+    return joined.withColumn("stationary", F.col("p_value") < 0.05)

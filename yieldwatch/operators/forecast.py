@@ -26,6 +26,10 @@ MOST_HELD = 1_000  # series whose sums a task holds at once
 
 YEAR, WEEK = 365.25, 7.0
 YEARLY_TERMS, WEEKLY_TERMS = 10, 3
+# Number of places where the trend may bend, and the part of the history they are in.
+CHANGEPOINTS, CHANGE_SPAN = 25, 0.8
+PENALTY = 0.05  # of the price from which on no slope changes
+DESCENTS = 500
 _ORIGIN = "2000-01-01"
 
 
@@ -248,6 +252,110 @@ def season_value(coefficients: Column, date: Column, yearly: int = YEARLY_TERMS,
     return total
 
 
+def _hinges(days: np.ndarray, low: float, high: float, count: int) -> np.ndarray:
+    """How many years a day is past each changepoint, 0 before it."""
+    places = low + CHANGE_SPAN * (high - low) * np.arange(1, count + 1) / count
+    return np.maximum(days[:, None] - places, 0) / YEAR
+
+
+def hinge_value(changes: Column, day: Column, low: Column, high: Column, count: int) -> Column:
+    """What the changes of slope add at a day, as a column expression."""
+    total = F.lit(0.0)
+    for k in range(1, count + 1):
+        place = low + F.lit(CHANGE_SPAN) * (high - low) * F.lit(k) / F.lit(count)
+        total = total + changes[k - 1] * F.greatest(day - place, F.lit(0.0)) / YEAR
+    return total
+
+
+def solve_changes(gram: np.ndarray, free: int, penalty: float) -> tuple[np.ndarray, np.ndarray]:
+    """(weights of the free terms, changes of slope) from summed products.
+
+    gram: products of (free terms, hinges) with themselves and, last column, with the value.
+    Minimises half the squared error plus a price for the absolute changes, by coordinate
+    descent on what the free terms leave. The price is `penalty` times the one from which on
+    no slope changes, so a penalty of 1 or more gives a straight trend.
+    """
+    size = len(gram)
+    xx, xy = gram[:, :size], gram[:, size]
+    aa, ah, hh = xx[:free, :free], xx[:free, free:], xx[free:, free:]
+    alone = np.linalg.lstsq(aa, xy[:free], rcond=1e-10)[0]
+    across = np.linalg.lstsq(aa, ah, rcond=1e-10)[0]
+    left, pull = hh - ah.T @ across, xy[free:] - ah.T @ alone
+    changes = np.zeros(size - free)
+    if not len(changes) or penalty >= 1:
+        return alone, changes
+    price = penalty * np.abs(pull).max()
+    # A hinge that the free terms explain, as on a short series, keeps its slope.
+    usable = [k for k in range(len(changes)) if left[k, k] > 1e-9 * max(hh[k, k], 1e-300)]
+    for _ in range(DESCENTS):
+        moved = 0.0
+        for k in usable:
+            rest = pull[k] - left[k] @ changes + left[k, k] * changes[k]
+            new = np.sign(rest) * max(abs(rest) - price, 0.0) / left[k, k]
+            moved = max(moved, abs(new - changes[k]) * np.sqrt(left[k, k]))
+            changes[k] = new
+        if moved <= 1e-9 * np.sqrt(max(np.abs(np.diag(left)).max(), 1e-300)):
+            break
+    return alone - across @ changes, changes
+
+
+def bent_trend(
+    train: DataFrame,
+    key: str = "series_id",
+    order: str = "date",
+    value: str = "value",
+    yearly: int = YEARLY_TERMS,
+    weekly: int = WEEKLY_TERMS,
+    changepoints: int = CHANGEPOINTS,
+    penalty: float = PENALTY,
+) -> DataFrame:
+    """(key, low, high, coefficients, changes): trend whose slope may change at `changepoints`
+    even places of the first CHANGE_SPAN of a series, with seasons.
+
+    low and high are the first and last known day. Each task adds up one matrix per series;
+    a solve per series sees those sums only. A job stores the days.
+    """
+    free = 2 + 2 * (yearly + weekly)
+    size = free + changepoints
+    day = F.datediff(F.col(order), F.lit(_ORIGIN).cast("date")).cast("double")
+    known = train.filter(null_if_nan(F.col(value)).isNotNull()).select(
+        F.col(key).alias("key"), day.alias("day"), F.col(value).cast("double").alias("y")
+    )
+    ends = known.groupBy("key").agg(F.min("day").alias("low"), F.max("day").alias("high"))
+    rows = join_summary(known, ends, ["key"])
+    kind = train.schema[key].dataType.simpleString()
+
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict = {}
+        for batch in batches:
+            for (name, low, high), group in batch.groupby(["key", "low", "high"], dropna=False):
+                days = group["day"].to_numpy()
+                x = np.column_stack([_season_matrix(days, yearly, weekly), _hinges(days, low, high, changepoints)])
+                gram = x.T @ np.column_stack([x, group["y"].to_numpy()])
+                name = (None if pd.isna(name) else name, low, high)
+                held[name] = held[name] + gram if name in held else gram
+            if len(held) > MOST_HELD:
+                yield flat(held)
+                held = {}
+        if held:
+            yield flat(held)
+
+    def flat(held: dict) -> pd.DataFrame:
+        names = pd.DataFrame(list(held), columns=["key", "low", "high"])
+        return names.assign(gram=[g.ravel() for g in held.values()])
+
+    def solve(group: pd.DataFrame) -> pd.DataFrame:
+        total = np.sum(np.stack(group["gram"].to_numpy()), axis=0).reshape(size, size + 1)
+        weights, changes = solve_changes(total, free, penalty)
+        return group[["key", "low", "high"]].head(1).assign(coefficients=[weights], changes=[changes])
+
+    added = rows.mapInPandas(sums, f"key {kind}, low double, high double, gram array<double>")
+    solved = added.groupBy("key").applyInPandas(
+        solve, f"key {kind}, low double, high double, coefficients array<double>, changes array<double>"
+    )
+    return solved.withColumnRenamed("key", key)
+
+
 def forecast_trend_season(
     train: DataFrame,
     horizon: DataFrame,
@@ -256,18 +364,30 @@ def forecast_trend_season(
     value: str = "value",
     yearly: int = YEARLY_TERMS,
     weekly: int = WEEKLY_TERMS,
+    changepoints: int = 0,
+    penalty: float = PENALTY,
 ) -> DataFrame:
     """(key, step, date, predicted) for the days after the last training day.
 
     `yearly` and `weekly` are the numbers of sine and cosine pairs; none leave a straight line.
+    With `changepoints` the slope may change at that many places (`bent_trend`); the last
+    slope goes on into the forecast.
     """
     last = train.groupBy(key).agg(F.max(order).alias("last_date"))
     steps_wanted = horizon.select(key, F.col("horizon").cast("int").alias("horizon"))
-    state = join_null_safe(season_coefficients(train, key, order, value, yearly, weekly), last, [key])
+    if changepoints:
+        models = bent_trend(train, key, order, value, yearly, weekly, changepoints, penalty)
+    else:
+        models = season_coefficients(train, key, order, value, yearly, weekly)
+    state = join_null_safe(models, last, [key])
     future = (
         join_null_safe(state, steps_wanted, [key])
         .filter(F.col("horizon") > 0)
         .withColumn("step", F.explode(F.sequence(F.lit(1), F.col("horizon"))))
         .withColumn(order, F.date_add("last_date", F.col("step")))
     )
-    return future.select(key, "step", order, season_value(F.col("coefficients"), F.col(order), yearly, weekly).alias("predicted"))
+    predicted = season_value(F.col("coefficients"), F.col(order), yearly, weekly)
+    if changepoints:
+        day = F.datediff(F.col(order), F.lit(_ORIGIN).cast("date")).cast("double")
+        predicted = predicted + hinge_value(F.col("changes"), day, F.col("low"), F.col("high"), changepoints)
+    return future.select(key, "step", order, predicted.alias("predicted"))

@@ -36,11 +36,12 @@ def all_dashboards(
     feature_keys: Sequence[str] = (),
     output: str | None = None,
     drift: DataFrame | None = None,
+    mode: str = "error",
 ) -> Dashboard:
     """Fact table, drift report and summary of every (target, model) in `predictions`.
 
     Drift depends on the features only, so it is computed once for all of them; a report that
-    is there already may be given as `drift`. A pair without predictions has no rows and so
+    is there already may be given as `drift`; `mode` is one of the writers'. A pair without predictions has no rows and so
     does not appear. Runs jobs that store the rolling errors, the scores and the drift.
     """
     fact, scores = monitoring_fact(predictions, window, daily)
@@ -48,7 +49,7 @@ def all_dashboards(
         drift = settle(drift_report(features, feature_keys))
     summary = monitoring_summary(scores, drift)
     if output is not None:
-        write_dashboard(fact, drift, summary, output)
+        write_dashboard(fact, drift, summary, output, mode=mode)
     return Dashboard(fact, drift, summary)
 
 
@@ -62,7 +63,8 @@ def monitoring_dashboard(
     feature_keys: Sequence[str] = (),
     output: str | None = None,
     drift: DataFrame | None = None,
+    mode: str = "error",
 ) -> Dashboard:
     """The dashboard of one target and model."""
     own = predictions.filter((F.col("target") == target) & (F.col("model") == model))
-    return all_dashboards(own, features, window, daily, feature_keys, output, drift)
+    return all_dashboards(own, features, window, daily, feature_keys, output, drift, mode)

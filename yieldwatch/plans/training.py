@@ -1,18 +1,21 @@
 """Train, score, compare and save: rate regressors, customer classifiers, forecasts.
 
-Model fits are Spark jobs that read the training rows many times, so the prepared rows are
-computed once into the shared folder; everything after the fit is one lazy plan.
+Model fits are Spark jobs that read the training rows many times, so the rows of all targets
+are prepared once into the shared folder, and several fits run at a time over that table;
+everything after the fits is one lazy plan.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from yieldwatch.operators import models as m
+from yieldwatch.operators.arma import forecast_arma
 from yieldwatch.operators.curves import pr_curve, ranking_metrics, roc_curve
 from yieldwatch.operators.evaluate import (
     best_auc_gate,
@@ -21,12 +24,13 @@ from yieldwatch.operators.evaluate import (
     improvement_vs_baseline,
     regression_metrics,
 )
-from yieldwatch.operators.forecast import forecast_ar, forecast_trend_season
-from yieldwatch.operators.joins import join_summary
-from yieldwatch.operators.prepare import LABELS, prepare_behavioral, prepare_ml
-from yieldwatch.operators.split import chrono_split, hash_split, split_dates
+from yieldwatch.operators.forecast import CHANGEPOINTS, forecast_trend_season
+from yieldwatch.operators.joins import join_null_safe, join_summary
+from yieldwatch.operators.prepare import LABELS, behavioral_features, complete_rows
+from yieldwatch.operators.split import split_dates, stratified_split
+from yieldwatch.plans.together import WORKERS, run_together
 from yieldwatch.sources.scratch import settle
-from yieldwatch.sources.writers import write_metrics_json, write_predictions
+from yieldwatch.sources.writers import write_importance, write_metrics_json, write_predictions
 
 
 @dataclass
@@ -81,37 +85,50 @@ def train_eval_regress(
     baseline: DataFrame | None = None,
     test_size: float = 0.2,
     output: str | None = None,
+    mode: str = "error",
+    workers: int = WORKERS,
 ) -> Regression:
-    """Fit each regressor on each target; the first 80 % of the dates train.
+    """Fit each regressor on each target; the first 80 % of a target's complete dates train.
 
-    With `baseline` (best model per target) the metrics also show the improvement. With
-    `output` the predictions, metrics and importances are written below that folder.
+    All targets read one stored table, and `workers` fits run at a time; the models are those
+    of fits in sequence. With `baseline` (best model per target) the metrics also show the
+    improvement. With `output` the predictions, metrics and importances are written below that
+    folder; `mode` is one of the writers'.
     """
     spark = features.sparkSession
-    predictions, importance, names = [], [], {}
-    for target in targets:
-        prepared = prepare_ml(features, target, raw_series)
-        columns = [c for c in prepared.columns if c not in ("date", target)]
-        rows = settle(chrono_split(prepared, (), "date", test_size))
-        train, test = rows.filter("split = 'train'"), rows.filter("split = 'test'")
-        for name, estimator in estimators(target).items():
-            names[name] = True
-            model = m.fit(train, columns, estimator)
-            scored = m.predict(model, test, ["date"], target)
-            predictions.append(scored.select(F.lit(target).alias("target"), F.lit(name).alias("model"), "*"))
-            ranked = importance_pct(m.feature_importance(spark, model, columns))
-            importance.append(ranked.select(F.lit(target).alias("target"), F.lit(name).alias("model"), "*"))
-    all_predictions = settle(_union(predictions))
+    shared = [c for c in features.columns if c not in {*targets, *raw_series}]
+    table = settle(features.select(*shared, *targets).na.drop(how="any", subset=shared))
+    columns = {t: [c for c in table.columns if c not in {"date", t, *raw_series}] for t in targets}
+
+    def split(target: str) -> tuple[DataFrame, DataFrame]:
+        rows = table.select("date", *columns[target], target).na.drop(how="any")
+        cutoff = split_dates(rows, (), "date", test_size).first()["cutoff"]
+        late = F.coalesce(F.col("date") >= F.lit(cutoff), F.lit(False))
+        return rows.filter(~late), rows.filter(late)
+
+    def fit(target: str, name: str, estimator, rows: tuple[DataFrame, DataFrame]) -> tuple[DataFrame, DataFrame]:
+        model = m.fit(rows[0], columns[target], estimator)
+        scored = m.predict(model, rows[1], ["date"], target)
+        ranked = importance_pct(m.feature_importance(spark, model, columns[target]))
+        marks = (F.lit(target).alias("target"), F.lit(name).alias("model"))
+        return settle(scored.select(*marks, "*")), ranked.select(*marks, "*")
+
+    halves = dict(zip(targets, run_together(spark, [partial(split, t) for t in targets], workers), strict=True))
+    wanted = [(t, name, estimator) for t in targets for name, estimator in estimators(t).items()]
+    names = list(dict.fromkeys(name for _, name, _ in wanted))
+    done = run_together(spark, [partial(fit, t, name, e, halves[t]) for t, name, e in wanted], workers)
+    all_predictions = _union([predictions for predictions, _ in done])
+    importance = _union([ranked for _, ranked in done])
     metrics = regression_metrics(all_predictions)
     result = Regression(
         all_predictions,
         improvement_vs_baseline(metrics, baseline) if baseline is not None else metrics,
-        _union(importance),
+        importance,
     )
     if output is not None:
-        write_predictions(all_predictions, f"{output}/predictions", list(names))
-        write_metrics_json(metrics, f"{output}/metrics")
-        result.importance.write.partitionBy("target", "model").option("header", True).csv(f"{output}/importance")
+        write_predictions(all_predictions, f"{output}/predictions", names, mode=mode)
+        write_metrics_json(metrics, f"{output}/metrics", mode)
+        write_importance(importance, f"{output}/importance", mode)
     return result
 
 
@@ -139,52 +156,71 @@ def train_eval_classify(
     estimators=classifiers,
     test_size: float = 0.2,
     output: str | None = None,
+    mode: str = "error",
+    workers: int = WORKERS,
 ) -> Classification:
     """Fit each classifier on each label and score the held-out customers.
 
-    `scores` has (target, model, key, label, score) and feeds the curve operators.
+    Categories are coded once for all labels; each label has its own split, with exact class
+    shares; `workers` fits run at a time. `scores` has (target, model, key, label, score) and
+    feeds the curve operators.
     """
-    scores = []
-    for label in [c for c in labels if c in behavior.columns]:
-        prepared = prepare_behavioral(behavior, label, key=key)
-        columns = [c for c in prepared.columns if c not in (key, label)]
-        rows = settle(hash_split(prepared, key, test_size))
+    spark = behavior.sparkSession
+    labels = [c for c in labels if c in behavior.columns]
+    table, columns = behavioral_features(behavior, labels, key=key)
+    table = settle(table)
+
+    def split(label: str) -> tuple[DataFrame, DataFrame, int]:
+        rows = stratified_split(settle(complete_rows(table, columns, label, key)), key, label, test_size, stored=True)
+        rows = settle(rows)
         train = settle(m.with_class_weight(rows.filter("split = 'train'"), label))
-        test = rows.filter("split = 'test'")
-        for name, estimator in estimators(label, train.count()).items():
-            model = m.fit(train, columns, estimator)
-            scored = m.positive_score(model, test, [key], label)
-            scores.append(scored.select(F.lit(label).alias("target"), F.lit(name).alias("model"), "*"))
-    all_scores = settle(_union(scores))
+        return train, rows.filter("split = 'test'"), train.count()
+
+    def fit(label: str, name: str, estimator, rows: tuple[DataFrame, DataFrame, int]) -> DataFrame:
+        model = m.fit(rows[0], columns, estimator)
+        scored = m.positive_score(model, rows[1], [key], label)
+        return settle(scored.select(F.lit(label).alias("target"), F.lit(name).alias("model"), "*"))
+
+    halves = dict(zip(labels, run_together(spark, [partial(split, c) for c in labels], workers), strict=True))
+    wanted = [(c, name, estimator) for c in labels for name, estimator in estimators(c, halves[c][2]).items()]
+    all_scores = _union(run_together(spark, [partial(fit, c, name, e, halves[c]) for c, name, e in wanted], workers))
     metrics = ranking_metrics(all_scores, ["target", "model"])
     if output is not None:
-        write_metrics_json(metrics, f"{output}/metrics")
+        write_metrics_json(metrics, f"{output}/metrics", mode)
     return Classification(all_scores, metrics, best_auc_gate(metrics, ["target"]))
 
 
-def train_eval_forecast(clean: DataFrame, test_size: float = 0.2, output: str | None = None) -> Forecast:
-    """Both forecasts for every series of a clean daily calendar, all series in one plan."""
+def train_eval_forecast(
+    clean: DataFrame,
+    test_size: float = 0.2,
+    output: str | None = None,
+    mode: str = "error",
+    changepoints: int = CHANGEPOINTS,
+) -> Forecast:
+    """Both forecasts for every series of a clean daily calendar, all series in one plan.
+
+    The models are ARMA with a seasonal term, its order chosen by AIC, and a trend with seasons
+    whose slope may change at `changepoints` places.
+    """
     cuts = settle(split_dates(clean, ["series_id"], "date", test_size))
     marked = join_summary(clean, cuts, ["series_id"], "left", stored=True)
     is_test = F.coalesce(F.col("date") >= F.col("cutoff"), F.lit(False))
-    train = marked.filter(~is_test).select("series_id", "date", "value")
-    test = marked.filter(is_test).select("series_id", "date", F.col("value").alias("actual"))
+    marked = settle(marked.select("series_id", "date", "value", is_test.alias("_test")))
+    train = marked.filter(~F.col("_test")).drop("_test")
+    test = marked.filter("_test").select("series_id", "date", F.col("value").alias("actual"))
     horizon = cuts.select("series_id", (F.col("n_rows") - F.col("n_train")).alias("horizon"))
-    forecasts = _union(
-        [
-            forecast_ar(train, horizon, daily=True).select("series_id", F.lit("AR").alias("model"), "date", "predicted"),
-            forecast_trend_season(train, horizon).select(
-                "series_id", F.lit("TrendSeason").alias("model"), "date", "predicted"
-            ),
-        ]
-    )
-    predictions = forecasts.join(test, ["series_id", "date"]).select(
+    models = {
+        "ARMA": forecast_arma(train, horizon, daily=True),
+        "TrendSeason": forecast_trend_season(train, horizon, changepoints=changepoints),
+    }
+    columns = ("series_id", "date", "predicted")
+    forecasts = _union([f.select(F.lit(name).alias("model"), *columns) for name, f in models.items()])
+    predictions = join_null_safe(forecasts, test, ["series_id", "date"]).select(
         F.col("series_id").alias("target"), "model", "date", "actual", "predicted"
     )
     predictions = settle(predictions)
-    if output is not None:
-        write_predictions(predictions, f"{output}/predictions", ["AR", "TrendSeason"])
     metrics = regression_metrics(predictions)
     if output is not None:
-        write_metrics_json(metrics, f"{output}/metrics")
+        write_predictions(predictions, f"{output}/predictions", list(models), mode=mode)
+        write_metrics_json(metrics, f"{output}/metrics", mode)
     return Forecast(predictions, metrics, best_baseline(metrics))

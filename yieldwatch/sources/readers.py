@@ -42,7 +42,7 @@ def read_rates_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """(series_id, ts, value) from files with a date column and one value column.
 
     The series is named by the folder `series_id=<name>`, or else by the file name. Rows
-    without a readable date or number are left out.
+    without a readable date or number are left out. A file with the value before the date is an error.
     """
     paths = [path] if isinstance(path, str) else list(path)
     # Each file names its value column as it likes, so the two columns are taken in their order.
@@ -51,9 +51,11 @@ def read_rates_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     folder = F.regexp_extract(location, r"/series_id=([^/]+)/", 1)
     file = F.regexp_extract(location, r"([^/]+?)(\.csv)?(\.gz)?$", 1)
     series = F.url_decode(F.when(folder != "", folder).otherwise(file))
-    return raw.select(
-        series.alias("series_id"), F.col("ts").try_cast("timestamp_ntz").alias("ts"), _number(F.col("value")).alias("value")
-    ).na.drop()
+    number, date = F.col("value").try_cast("double"), F.col("value").try_cast("timestamp_ntz")
+    swapped = number.isNull() & date.isNotNull() & F.col("ts").try_cast("double").isNotNull()
+    wrong = F.raise_error(F.concat(F.lit("the date is not the first column of "), location)).cast("timestamp_ntz")
+    ts = F.when(swapped, wrong).otherwise(F.col("ts").try_cast("timestamp_ntz"))
+    return raw.select(series.alias("series_id"), ts.alias("ts"), _number(F.col("value")).alias("value")).na.drop()
 
 
 def read_wide_rates_csv(spark: SparkSession, path: str, series: Sequence[str]) -> DataFrame:

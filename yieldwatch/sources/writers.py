@@ -1,22 +1,33 @@
 """Writers. Rows are rebalanced on the partition columns first: small files are merged and
-the rows of a hot target are split over several tasks."""
+the rows of a hot target are split over several tasks.
+
+`mode` is one of Spark's, or `partitions`: the partitions (series, targets, models) that are
+in the rows are replaced and all others stay, so a run can be repeated."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
+PARTITIONS = "partitions"
+
 
 def _write(df: DataFrame, path: str, partition_by: Sequence[str], fmt: str, mode: str) -> None:
     balanced = df.hint("rebalance", *partition_by) if partition_by else df.hint("rebalance")
-    writer = balanced.write.mode(mode).partitionBy(*partition_by)
+    writer = _with_mode(balanced.write, mode).partitionBy(*partition_by)
     if fmt == "csv":
         writer = writer.option("header", True)
     writer.format(fmt).save(path)
 
 
+def _with_mode(writer: DataFrameWriter, mode: str) -> DataFrameWriter:
+    if mode == PARTITIONS:
+        return writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    return writer.mode(mode)
+
+
 def write_features(
     df: DataFrame, path: str, partition_by: Sequence[str] = ("series_id",), fmt: str = "parquet", mode: str = "error"
 ) -> None:
@@ -56,13 +67,18 @@ def metrics_documents(metrics: DataFrame, keys: Sequence[str] = ("target",)) ->
 
 def write_metrics_json(metrics: DataFrame, path: str, mode: str = "error") -> None:
     """One metric document per target, in the folder `target=<name>`."""
-    metrics_documents(metrics).write.mode(mode).partitionBy("target").text(path, lineSep="\n")
+    _with_mode(metrics_documents(metrics).write, mode).partitionBy("target").text(path, lineSep="\n")
+
+
+def write_importance(importance: DataFrame, path: str, mode: str = "error") -> None:
+    """Feature importances as CSV by target and model."""
+    _write(importance, path, ["target", "model"], "csv", mode)
 
 
 def write_dashboard(
     fact: DataFrame, drift: DataFrame, summary: DataFrame, path: str, fmt: str = "csv", mode: str = "error"
 ) -> None:
-    """fact/ and summary/ by target and model, drift/ once for all of them."""
+    """fact/ and summary/ by target and model, drift/ once for all of them (and so replaced whole)."""
     _write(fact, f"{path}/fact", ["target", "model"], fmt, mode)
     _write(drift, f"{path}/drift", [], fmt, mode)
-    summary.write.mode(mode).partitionBy("target", "model").json(f"{path}/summary")
+    _with_mode(summary.write, mode).partitionBy("target", "model").json(f"{path}/summary")
