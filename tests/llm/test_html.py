@@ -1,0 +1,108 @@
+"""Main text of pages: parsing, votes of a host, edge cases."""
+
+import pytest
+
+from yieldwatch.llm import html, queries
+
+NAV = '<nav><ul><li><a href="/a">Home</a></li></ul></nav><div class="ad">Buy this.</div>'
+FOOT = '<footer>&copy; somebody</footer><script>var t="</p>";</script>'
+LONG = "A sentence that says something about the matter at hand. " * 6
+
+
+def run_query(spark, tmp_path, rows):
+    spark.createDataFrame(rows, "page_id bigint, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    found = queries.QUERIES["op12_consensus_paths"](spark, str(tmp_path)).collect()
+    assert all(r["n_chars"] == len(r["text"]) for r in found)
+    return found
+
+
+def text_of(page):
+    parsed = html.Page(page)
+    best = parsed.best()
+    return "\n\n".join(t for p, t in parsed.blocks if best == p or p.startswith(f"{best}/"))
+
+
+@pytest.mark.parametrize(
+    "body, want",
+    [
+        ("<article><h1>T</h1><p>a  b\n c<p>d &amp;&lt; e</article>", "T\n\na b c\n\nd &< e"),
+        ("<article><p><b>x<br>y<p>z<br></article>", "x y\n\nz"),
+        ("<article>plain <i>text</i>s<div>more</div>end</article>", "plain texts\n\nmore\n\nend"),
+        ("<article><p>one</p><aside>no</aside><form>no <input> no</form><p>two</p></article>", "one\n\ntwo"),
+        ("<article><p>a<script>if (a<b) { '<p>' }</script>b<!-- <p>no</p> --></p></article>", "ab"),
+        ("<main><header>no</header><p>yes</p></main>", "yes"),
+        ("<article><header><h1>Title</h1></header><p>yes</p></article>", "Title\n\nyes"),
+        ('<div class="post-12 content"><p>yes</p></div><div class="sidebar">no</div><section id="comments"><p>no</p></section>', "yes"),
+        ('<div class="wrap"><div class="cookie-notice">no</div><div class="story">yes</div><ol class="commentlist"><li>no</ol></div>', "yes"),
+        ("<article><table><tr><td>a<td>b<tr><td>c</table><ul><li>d<li>e</ul></article>", "a\n\nb\n\nc\n\nd\n\ne"),
+        ("<article><a title=it's href=x>k</a> &am; &nbsp;&#8364; l</article>", "k &am; € l"),
+        ("<article><p>cut off <a href='x", "cut off"),
+        ("<article><p hidden>no</p><p style='display: none'>no</p><p>yes</p></article>", "yes"),
+        ("<article><p>x</p></article><p>y", "x"),
+        ("no markup at all", "no markup at all"),
+        ("<p>1 < 2 and 3 > 2</p>", "1 < 2 and 3 > 2"),
+        ("<body class='has-sidebar'><p>yes</p></body>", "yes"),
+    ],
+)
+def test_one_page(body, want):
+    assert text_of(body) == want
+    whole = f"<!DOCTYPE html><html><head><title>no</title><style>p{{}}</style></head><body>{NAV}{body}"
+    if "article" in body and "<article" in body and "cut off" not in body:
+        assert text_of(whole + FOOT + "</body></html>") == want
+
+
+def test_path_of_host_wins_over_the_largest_text(spark, tmp_path):
+    usual = "<html><body>" + NAV + '<div class="text p{}"><p>article {}. {}</p></div><div class="box"><p>{}</p></div>' + FOOT
+    rows = [(i, f"http://h.org/{i}", usual.format(i, i, LONG, "short")) for i in range(6)]
+    # Here what stands in the box outweighs the article; alone the page would give the box.
+    rows.append((6, "http://h.org/6", usual.format(6, 6, "", LONG * 3)))
+    rows.append((7, "http://other.org/7", usual.format(7, 7, "", LONG * 3)))
+    found = {r["page_id"]: r["text"] for r in run_query(spark, tmp_path, rows)}
+    assert all(found[i] == f"article {i}. {LONG.strip()}" for i in range(6))
+    assert found[6] == "article 6."
+    assert found[7] == (LONG * 3).strip()
+
+
+def test_page_without_a_winning_path_uses_its_own(spark, tmp_path):
+    rows = [(i, "http://h.org/x", f"<article><p>{i} {LONG}</p></article>") for i in range(9)]
+    rows.append((9, "http://h.org/y", f"<body><div class='story'><p>{LONG}</p></div></body>"))
+    found = {r["page_id"]: r["text"] for r in run_query(spark, tmp_path, rows)}
+    assert found[9] == LONG.strip() and found[3] == f"3 {LONG}".strip()
+
+
+def test_nulls_empty_long_and_repeated_pages(spark, tmp_path):
+    long = "<article>" + "<p>word &amp; word</p>" * 40_000 + "</article>"
+    rows = [(1, None, None), (2, "", ""), (None, "x", "<p>a</p>"), (4, "http://h.org", long), (4, "http://h.org", long), (5, "http://h.org", "<nav>x</nav>")]
+    found = sorted(run_query(spark, tmp_path, rows), key=str)
+    texts = {r["page_id"]: r["text"] for r in found}
+    assert len(found) == 6 and texts[1] == texts[2] == texts[5] == "" and texts[None] == "a"
+    assert texts[4] == "\n\n".join(["word & word"] * 40_000)
+
+
+def test_deep_and_broken_pages_end():
+    deep = html.Page("<div>" * 3000 + "x" + "<b>" * 2000 + "<p>y" * 50)
+    assert [t for _, t in deep.blocks] == ["x"] + ["y"] * 50
+    assert max(len(p) for p, _ in deep.blocks) < 400
+    for odd in ('<a title="' * 3000, "<!--" * 3000, "<" * 3000, "</p>" * 3000, "<script>" * 3000, "&#x110000; &#0;"):
+        html.Page(odd)
+
+
+def test_no_rows_and_clashing_columns(spark):
+    df = spark.createDataFrame([("<p>a</p>", "http://h/x", 1, 2, "old")], "html string, url string, _host int, paths int, text string")
+    out = html.extract(df)
+    assert out.columns == ["url", "_host", "paths", "text"] and tuple(out.first()) == ("http://h/x", 1, 2, "a")
+    assert html.extract(df.limit(0)).count() == 0
+
+
+def test_query_equals_plain_reading_of_the_table(spark, sf):
+    """The pages of the table hold one article each, of headings and paragraphs."""
+    import re
+    from html import unescape
+
+    pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
+    found = queries.QUERIES["op12_consensus_paths"](spark, sf).collect()
+    assert len(found) == len(pages)
+    for row in found:
+        article = re.search("<article>(.*)</article>", pages[row["page_id"]], re.S)[1]
+        parts = [" ".join(unescape(re.sub("<[^>]*>", " ", part)).split()) for part in re.split("</?(?:p|h1)>", article)]
+        assert row["text"] == "\n\n".join(p for p in parts if p)

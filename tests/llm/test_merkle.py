@@ -1,0 +1,124 @@
+"""The manifest against a plain recomputation of every tree, path and proof."""
+
+import hashlib
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from yieldwatch.llm import merkle, queries
+
+
+def h(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def field(value):
+    return "-" if value is None else f"{len(str(value).encode())}:{value}"
+
+
+def levels(nodes):
+    out = [nodes]
+    while len(out[-1]) > 1:
+        out.append([h(*out[-1][i : i + 2]) for i in range(0, len(out[-1]), 2)])
+    return out
+
+
+def way(tree, i):
+    """(left, right) siblings from level 0 up."""
+    out = []
+    for level in tree[:-1]:
+        first = i - i % 2
+        run = level[first : first + 2]
+        out.append(("".join(run[: i - first]), "".join(run[i - first + 1 :])))
+        i //= 2
+    return out
+
+
+def plain(rows):
+    """rows: (doc_id, source, lang, n_chars, text) -> the contract's columns for each row."""
+    by_lang = {}
+    for row in rows:
+        leaf = h(*map(field, row))
+        by_lang.setdefault(row[2], []).append((row[0] is not None, row[0] or 0, leaf, row))
+    names = sorted(by_lang, key=lambda n: (n is not None, (n or "").encode()))
+    trees = {}
+    for name in names:
+        by_lang[name].sort(key=lambda r: r[:3])
+        trees[name] = levels([r[2] for r in by_lang[name]])
+    top = levels([trees[n][-1][0] for n in names]) if names else []
+    out = []
+    for place, name in enumerate(names):
+        for i, (_, _, leaf, row) in enumerate(by_lang[name]):
+            steps = way(trees[name], i) + way(top, place)
+            shown = leaf
+            if row[0] is not None and row[3] is not None and zlib.crc32(str(row[0]).encode()) % 7 == 0:
+                shown = h(*map(field, (row[0], row[1], row[2], row[3] + 1, row[4])))
+            for left, right in steps:
+                shown = h(left, shown, right)
+            root = top[-1][0]
+            proof = h(*[left + right for left, right in steps])
+            out.append((row[0], leaf, trees[name][-1][0], root, proof, shown, shown == root))
+    return out
+
+
+SCHEMA = "doc_id bigint, source string, lang string, n_chars bigint, text string"
+
+
+def run_query(spark, tmp_path, rows):
+    spark.createDataFrame(rows, SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
+    found = queries.QUERIES["op13_merkle_intervals"](spark, str(tmp_path)).collect()
+    return sorted((tuple(r) for r in found), key=str)
+
+
+def test_query_equals_plain_trees(spark, tmp_path):
+    rows = [(i * 3, f"s{i % 4}", ["de", "en", "é", "", None][i % 5] if i % 3 else "en", i if i % 11 else None, "wört " * (i % 9)) for i in range(1500)]
+    rows += [(None, None, None, None, None), (None, "a", "en", 3, "x"), (None, "a", "en", 3, "x"), (6, "b", "en", 3, None), (6, "b", "en", 3, "y" * 300_000)]
+    assert run_query(spark, tmp_path, rows) == sorted(plain(rows), key=str)
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 255, 256, 257])
+def test_sizes_around_a_bucket(spark, tmp_path, n):
+    rows = [(i, "s", "en", i, "t") for i in range(n)]
+    found = run_query(spark, tmp_path, rows)
+    assert found == sorted(plain(rows), key=str)
+    if n == 1:
+        assert found[0][1] == found[0][2] == found[0][3]
+
+
+def test_strata_of_three_levels(spark, monkeypatch):
+    """Small buckets make many strata; every proof leads to the root."""
+    monkeypatch.setattr(merkle, "LEVELS", 2)
+    assert merkle._in_buckets(spark.range(1).withColumn("lo", F.lit(9)), 2).first()["bucket"] == 0
+    df = spark.range(150).select("id", F.lit("a").alias("lang"), F.sha2(F.col("id").cast("string").cast("binary"), 256).alias("leaf"))
+    # Workers import the module anew, with buckets of 2**8: the height of their nodes stays below a bucket's.
+    monkeypatch.undo()
+    built = merkle.build(df, "lang", ["id"], "leaf")
+    rows = built.leaves.select("id", "rank", "root", merkle.fold(F.col("leaf"), F.col("proof")).alias("folded")).collect()
+    assert sorted(r["rank"] for r in rows) == list(range(150)) and all(r["root"] == r["folded"] for r in rows)
+
+
+def test_nodes_cover_their_leaves(spark):
+    df = spark.range(700).select("id", F.lit("a").alias("lang"), F.sha2(F.col("id").cast("string").cast("binary"), 256).alias("leaf"))
+    built = merkle.build(df, "lang", ["id"], "leaf")
+    nodes = {(r["level"], r["lo"]): r for r in built.nodes.filter("tree = '+a'").collect()}
+    tree = levels([h(str(i)) for i in range(700)])
+    assert len(nodes) == sum(map(len, tree[1:]))
+    for (level, lo), row in nodes.items():
+        assert row["digest"] == tree[level][lo >> level] and row["hi"] == min(700, lo + 2**level)
+
+
+def test_many_trees(spark, tmp_path):
+    """More trees than a bucket holds."""
+    rows = [(i, "s", f"l{i % 300}", i, "t") for i in range(640)]
+    assert run_query(spark, tmp_path, rows) == sorted(plain(rows), key=str)
+
+
+def test_no_rows_and_clashing_columns(spark, tmp_path):
+    assert run_query(spark, tmp_path, []) == []
+    df = spark.createDataFrame([(1, "a", 5, "x", 7, 8, 9)], "id int, lang string, lo int, tree string, size int, proof int, level int")
+    df = df.withColumn("leaf", F.sha2(F.lit("z").cast("binary"), 256))
+    out = merkle.build(df, "lang", ["id"], "leaf").leaves
+    assert out.columns == ["id", "lang", "lo", "tree", "size", "level", "leaf", "rank", "subroot", "root", "proof"]
+    row = out.first()
+    assert (row["lo"], row["tree"], row["size"], row["level"], row["rank"]) == (5, "x", 7, 9, 0) and row["proof"] == []

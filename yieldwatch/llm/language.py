@@ -23,6 +23,8 @@ DIMENSIONS = 4096
 #: Bound of the sample that the clusters of one language are fitted to.
 SAMPLE = 400
 CLUSTERS = 4
+#: Languages of one model, for the size of what all tasks are given.
+MOST_LANGUAGES = 1_000
 STEPS = 12
 #: A text is rejected below the sample's mean cosine less this many deviations.
 DEVIATIONS = 4.0
@@ -157,23 +159,32 @@ class Centroids:
 
 def fit(texts: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", sample: int = SAMPLE) -> Centroids:
     """Learn from the rows with a text and a language. The weights count all of them; the
-    clusters use, for each language, the `sample` rows whose key has the lowest hash.
-    Runs jobs; CLUSTERS vectors per language reach the driver."""
+    clusters use, for each language, the `sample` distinct rows whose key and text have the
+    lowest hashes, whatever the partitions. Runs jobs; CLUSTERS vectors per language reach the
+    driver, 128 KB, and more than MOST_LANGUAGES values of the language are an error."""
     known = texts.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     known = known.filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
     weights = text_weights(known)
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("key"), "key")
-    chosen = known.select("key", "lang").withColumn("place", F.row_number().over(order)).filter(F.col("place") <= sample)
-    chosen = settle(chosen.select("key", "lang", "place").dropDuplicates(["key", "lang"]))
-    # At most `sample` rows of a language go on.
-    rows = known.join(chosen, (known["key"].eqNullSafe(chosen["key"])) & (known["lang"] == chosen["lang"]), "left_semi")
+    # A row is known by its id and text; equal rows are one, so repeated or null ids count
+    # for no more than the sample's bound.
+    row = [F.xxhash64("key").alias("place"), F.xxhash64("text").alias("print")]
+    order = Window.partitionBy("lang").orderBy("place", "print")
+    distinct = known.select("lang", *row).distinct()
+    drawn = distinct.withColumn("_number", F.row_number().over(order)).filter(F.col("_number") <= sample)
+    drawn = settle(drawn.select("lang", "place", "print"))
+    texts_drawn = known.select("lang", "text", *row).join(drawn, ["lang", "place", "print"])
+    # One of equal rows: at most `sample` rows of a language go on.
+    rows = texts_drawn.groupBy("lang", "place", "print").agg(F.min("text").alias("text"))
 
     def centres(batches: pa.Table) -> pa.Table:
+        batches = batches.sort_by([("place", "ascending"), ("print", "ascending")])
         data = np.vstack([vectors(c, weights) for _, _, c in gram_counts(batches["text"].combine_chunks())])
-        found, floors = cluster(data[:sample], CLUSTERS)
+        found, floors = cluster(data, CLUSTERS)
         names = [batches["lang"][0].as_py()] * len(found)
         return pa.table({"lang": names, "centre": pa.array(found.tolist(), pa.list_(pa.float64())), "floor": floors})
 
+    if drawn.select("lang").distinct().count() > MOST_LANGUAGES:
+        raise ValueError(f"{lang} has more than {MOST_LANGUAGES} values; it does not name languages")
     fitted = rows.groupBy("lang").applyInArrow(centres, "lang string, centre array<double>, floor double")
     learned = sorted(fitted.collect(), key=lambda r: (r["lang"], r["centre"]))
     matrix = np.array([r["centre"] for r in learned]).reshape(len(learned), DIMENSIONS)

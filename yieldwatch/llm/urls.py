@@ -1,7 +1,8 @@
 """URL rules whose decisions also reach the aliases of a page.
 
 Pages that redirect to each other or name each other as canonical are one class of aliases,
-found as connected components. A page with a rule of its own follows that rule. A page
+found as connected components over those links alone: other addresses are never joined,
+unless the caller asks for a normalisation of addresses. A page with a rule of its own follows that rule. A page
 without one is allowed if a member of its class has an allow rule (allow takes precedence),
 blocked if one has a block rule, and else allowed.
 """
@@ -54,6 +55,11 @@ def alias_key(url: Column) -> Column:
     return F.when(host != "", key)
 
 
+def address_key(url: Column) -> Column:
+    """The address as it is written; null for one without a host."""
+    return F.when(host_of(url) != "", url)
+
+
 def _without_dots(path: Column) -> Column:
     """A path that starts with `/`, with its `.` and `..` segments followed."""
     segments = F.split(path, "/")
@@ -102,54 +108,62 @@ def match_rules(df: DataFrame, rules: DataFrame, host: str = "host", path: str =
     """`df` with the longest fitting `rule` and its `rule_verdict`, or nulls.
 
     A rule fits its host, all subdomains, and paths that start with its prefix. Equally long:
-    the longer host, then allow. Rules are joined to distinct hosts, so a host with very
-    many rows costs one join row; the join back to the rows is free of hints, AQE splits it.
+    the longer host, then allow. No host's rules are gathered: a host has the lengths that
+    prefixes of its rules have, an address looks up its beginnings of these lengths by an equality join,
+    and distinct addresses are looked up once, however many rows have them.
     """
-    own, fitting_rules, chosen_rule = (free_name(df, n) for n in ("_host", "_rules", "_best"))
-    hosts = df.select(F.col(host).alias("_host")).distinct().filter(F.col("_host") != "")
+    known = rules.filter(F.col("prefix").isNotNull() & F.col("rule_host").isNotNull())
+    known = known.groupBy("rule_host", "prefix").agg(F.max(F.col("verdict") == "allow").alias("allows"))
+    lengths = known.select("rule_host", F.length("prefix").alias("long")).distinct()
+    addresses = df.select(F.col(host).alias("_host"), F.col(path).alias("_path")).filter(F.col(host) != "").distinct()
     labels = F.split("_host", r"\.")
     tails = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    hosts = addresses.select("_host").distinct().withColumn("rule_host", F.explode(tails)).join(lengths, "rule_host")
+    beginnings = addresses.join(hosts, "_host").filter(F.col("long") <= F.length("_path"))
+    beginnings = beginnings.withColumn("prefix", F.substring(F.col("_path"), F.lit(1), F.col("long")))
+    fitting = beginnings.join(known, ["rule_host", "prefix"])
     candidate = F.struct(
-        F.length(F.concat("rule_host", "prefix")).alias("long"),
+        (F.length("rule_host") + F.col("long")).alias("size"),
         F.length("rule_host").alias("host_long"),
-        (F.col("verdict") == "allow").alias("allows"),
+        "allows",
         F.concat("rule_host", "prefix").alias("rule"),
-        F.col("prefix").alias("prefix"),
-        F.col("verdict").alias("verdict"),
     )
-    fitting = hosts.withColumn("rule_host", F.explode(tails)).join(rules, "rule_host")
-    by_host = fitting.groupBy(F.col("_host").alias(own)).agg(F.sort_array(F.collect_set(candidate), asc=False).alias(fitting_rules))
-    joined = df.join(by_host, F.col(host) == F.col(own), "left")
-    best = F.get(F.filter(fitting_rules, lambda r: F.col(path).startswith(r["prefix"])), F.lit(0))
-    chosen = joined.withColumn(chosen_rule, best)
-    rest = without(df, ["rule", "rule_verdict"])
-    return chosen.select(*rest, F.col(chosen_rule)["rule"].alias("rule"), F.col(chosen_rule)["verdict"].alias("rule_verdict"))
+    best = fitting.groupBy("_host", "_path").agg(F.max(candidate).alias("_best"))
+    own_host, own_path, found = (free_name(df, n) for n in ("_host", "_path", "_best"))
+    best = best.select(F.col("_host").alias(own_host), F.col("_path").alias(own_path), F.col("_best").alias(found))
+    joined = df.join(best, (F.col(host) == F.col(own_host)) & (F.col(path) == F.col(own_path)), "left")
+    verdict = F.when(F.col(found)["allows"], "allow").when(~F.col(found)["allows"], "block")
+    return joined.select(*without(df, ["rule", "rule_verdict"]), F.col(found)["rule"].alias("rule"), verdict.alias("rule_verdict"))
 
 
-def judge_urls(pages: DataFrame, rules: DataFrame, links: DataFrame | None = None, url: str = "url") -> DataFrame:
+def judge_urls(
+    pages: DataFrame, rules: DataFrame, links: DataFrame | None = None, url: str = "url", normalise: bool = False
+) -> DataFrame:
     """`pages` with host, path, rule, rule_verdict and verdict; columns of these names are replaced.
 
     links: (source, target) addresses of redirects and canonical links, of pages given here
-    or not. An address that is null or has no `://` has an empty host and path, fits no rule
+    or not. Only these join addresses, which are told apart as they are written; with
+    `normalise`, those with one `alias_key` count as one. An address that is null or has no `://` has an empty host and path, fits no rule
     and is allowed. Repeated pages are judged alike. Runs jobs while components are found.
     """
     kept = without(pages, ["host", "path", "rule", "rule_verdict", "verdict"])
     # The caller's columns stand aside in one struct, so that none can clash.
+    key = alias_key if normalise else address_key
     rows = pages.select(
         F.struct(*[F.col(c) for c in kept]).alias("_page"),
         host_of(F.col(url)).alias("host"),
         path_of(F.col(url)).alias("path"),
-        alias_key(F.col(url)).alias("_key"),
+        key(F.col(url)).alias("_key"),
     )
     judged = match_rules(rows, rules)
     known = judged.select("_key", "rule_verdict")
     if links is None:
         roots = None
     else:
-        edges = settle(links.select(alias_key(F.col("source")).alias("a"), alias_key(F.col("target")).alias("b"), "source", "target"))
+        edges = settle(links.select(key(F.col("source")).alias("a"), key(F.col("target")).alias("b"), "source", "target"))
         roots = settle(connected_components(edges, "a", "b"))
         ends = edges.select(F.explode(F.array("source", "target")).alias("u"))
-        ends = ends.select(host_of(F.col("u")).alias("host"), path_of(F.col("u")).alias("path"), alias_key(F.col("u")).alias("_key"))
+        ends = ends.select(host_of(F.col("u")).alias("host"), path_of(F.col("u")).alias("path"), key(F.col("u")).alias("_key"))
         known = known.unionByName(match_rules(ends, rules).select("_key", "rule_verdict"))
     if roots is not None:
         named = roots.select(F.col("node").alias("_key"), F.col("root").alias("_root"))
