@@ -54,7 +54,10 @@ def test_copies_ties_and_vectors_that_take_no_part(spark):
     rng = np.random.default_rng(16)
     rows = [(i, [1.0, 2.0, 3.0, 4.0]) for i in range(100)] + [(i, rng.normal(size=4).astype(np.float32)) for i in range(100, 160)]
     odd = [(200, None), (220, [0.0] * 4), (240, [1.0, None, 1.0, 1.0]), (260, [float("nan")] * 4), (280, [float("inf")] * 4), (300, [1.0, 2.0]), (None, [9.0] * 4)]
+    odd += [(301, [2.0, 1.0]), (302, [0.5, 0.5]), (303, [])]
     expected, got = brute(rows, 20), search(spark, rows + odd + [rows[0], rows[130]])
+    # A vector of another length is compared with those of its own.
+    assert [i for _, i, _ in got.pop(300)] == [301, 302]
     assert set(got) == set(expected)
     for q in range(0, 100, 20):  # the copies with the smallest ids, without the query itself
         assert [i for _, i, _ in got[q]] == [i for i in range(22) if i != q][:20] == [i for i, _ in expected[q]]
@@ -76,3 +79,18 @@ def test_probing_meets_every_code_within_the_radius():
         for code in codes[::40]:
             apart = np.bitwise_count(codes ^ code).sum(axis=1, dtype=np.int64)
             assert block.within(code, radius).tolist() == np.flatnonzero(apart <= radius).tolist()
+
+
+def test_many_rows_ask_with_one_vector(spark):
+    rng = np.random.default_rng(19)
+    rows = [(i, [1.0, 0.5, 0.0]) for i in range(0, 4000, 20)] + [(i, rng.normal(size=3).astype(np.float32)) for i in range(1, 200, 20)]
+    expected, got = brute(rows, 20), search(spark, rows)
+    assert {q: [i for _, i, _ in v] for q, v in got.items()} == {q: [i for i, _ in v] for q, v in expected.items()}
+
+
+@pytest.mark.parametrize("key", ["score", "rank", "query_id", "vector"])
+def test_key_names_that_clash(spark, key):
+    df = frame(spark, [(20, [1.0, 0.0]), (1, [0.5, 0.5])]).withColumnRenamed("vec_id", key)
+    out = hamming.nearest_neighbours(df, F.col(key) % 20 == 0, key=key)
+    assert out.columns == ["query_id", "rank", key if key == "vector" else f"_{key}", "score"]
+    assert tuple(out.first()) == (20, 1, 1, 0.5)

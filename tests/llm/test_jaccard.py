@@ -114,3 +114,23 @@ def test_overlaps_are_those_of_sets(monkeypatch):
     for many in (0, 20, 10**9):
         monkeypatch.setattr(jaccard, "MANY", many)
         assert jaccard.overlaps(sets[:20], sets[20:]).tolist() == expected
+
+
+@pytest.mark.parametrize("limit", [5, 10**9])
+def test_families_are_settled_by_their_pivot_or_compared(spark, monkeypatch, limit):
+    """Near copies of one text, some too far from it that link with each other only."""
+    monkeypatch.setattr(jaccard, "MOST_SETS", limit)
+    random.seed(12)
+    base = text(80)
+    far = changed(base, 3)[:-6] + text(9)
+    rows = [" ".join(changed(base, random.choice([0, 1, 2]))) for _ in range(60)]
+    rows += [" ".join(changed(far, random.choice([0, 1, 3, 6]))) for _ in range(30)]
+    rows = list(enumerate(rows))
+    assert got(spark, rows) == plain_components(rows)[0]
+
+
+def test_a_key_named_like_a_made_column(spark):
+    df = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f")], "component_id bigint, text string")
+    out = jaccard.similarity_components(df, key="component_id")
+    assert out.columns == ["_component_id", "n_shingles", "component_id"]
+    assert sorted(map(tuple, out.collect())) == [(1, 2, 1), (2, 2, 1)]

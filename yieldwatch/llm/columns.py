@@ -17,3 +17,11 @@ def without(df: DataFrame, names: list[str]) -> list[str]:
     """The columns of `df` except `names`, whatever their case."""
     dropped = {n.lower() for n in names}
     return [c for c in df.columns if c.lower() not in dropped]
+
+
+def beside(name: str, made: list[str]) -> str:
+    """`name`, with underscores in front until it is none of the columns that an operator makes."""
+    taken = {m.lower() for m in made}
+    while name.lower() in taken:
+        name = "_" + name
+    return name

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from yieldwatch.llm import bloom
-from yieldwatch.llm.columns import free_name
+from yieldwatch.llm.columns import beside, free_name
 from yieldwatch.llm.jaccard import small_batches
 from yieldwatch.llm.words import Words, mix, power, words_of
 from yieldwatch.sources.scratch import settle
@@ -241,14 +241,17 @@ def find_overlaps(
 
     The item with the best score stands for all (ties: the smaller key); nulls where there is
     no overlap of the needed score. Null and empty texts, and items of fewer than SHORTEST
-    words, overlap with nothing. Items and texts may be repeated. Runs jobs.
+    words, overlap with nothing. Items and texts may be repeated. A key named like another
+    column of the result gets an underscore in front. Runs jobs.
     """
     scanned, verdicts = _verdicts(df, benchmark, text, key, item_text, item_key)
     rows = scanned.filter(F.col("tokens").isNull()).select("key", "name")
+    made = ["contaminated", "score", "matched", "first_word", "last_word"]
+    own = beside(key, made)
     return rows.join(verdicts, "name", "left").select(
-        F.col("key").alias(key),
+        F.col("key").alias(own),
         F.col("best").isNotNull().alias("contaminated"),
-        F.col("best.item_key").alias(item_key),
+        F.col("best.item_key").alias(beside(item_key, [*made, own])),
         F.col("best.score").alias("score"),
         F.col("best.matched").alias("matched"),
         F.col("best.first").alias("first_word"),

@@ -14,7 +14,7 @@ bits, where every code is a candidate.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, reduce
 from itertools import combinations
 
 import numpy as np
@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from yieldwatch.llm.columns import beside
 from yieldwatch.llm.jaccard import small_batches
 from yieldwatch.sources.scratch import settle
 
@@ -32,8 +33,9 @@ STEPS = 20
 SUBSTRING = 32  # bits
 #: Share of the sample's nearest neighbours that the radius must hold.
 SHARE = 0.95
+#: The index is copied once for each block of queries, and the queries once for each block of it.
 ROWS_OF_BLOCK = 10_000
-QUERIES_OF_BLOCK = 1_000
+QUERIES_OF_BLOCK = 8_000
 
 
 @dataclass(frozen=True)
@@ -188,19 +190,28 @@ def nearest_neighbours(df: DataFrame, queries: Column, k: int = 20, key: str = "
 
     The search returns all rows within a Hamming radius and ranks these exactly, so a
     neighbour outside the radius can be missed; no row is left out of the index. Rows with a
-    null key, and vectors that are null, zero or not finite, take no part; of vectors of
-    several lengths those of the commonest do. Repeated (key, vector) rows count once. Equal vectors are one
-    entry of the index with its k + 1 smallest keys, which is all that a query can need. Runs jobs.
+    null key, and vectors that are null, zero or not finite, take no part; a query is compared
+    with the vectors of its own length, each length having codes of its own. Repeated
+    (key, vector) rows count once. Equal vectors are one entry of the index with its k + 1
+    smallest keys, which is all that a query can need, and one query, however many rows ask
+    it. A key column named like one of the others gets an underscore in front. Runs jobs.
     """
     spark = df.sparkSession
     rows = usable(df, vector).filter(F.col(key).isNotNull())
     rows = rows.select(F.col(key).cast("bigint").alias("id"), F.col(vector).alias("vector"), queries.alias("asks"))
-    length = rows.groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
-    schema = f"query_id bigint, rank int, {key} bigint, score double"
-    if length is None:
-        return spark.createDataFrame([], schema)
-    rows = rows.filter(F.size("vector") == length["n"]).withColumn("name", F.xxhash64("vector"))
-    rows = settle(rows.dropDuplicates(["id", "name"]))
+    rows = settle(rows.withColumn("name", F.xxhash64("vector")).dropDuplicates(["id", "name"]))
+    # A table of embeddings has a handful of lengths, of the models that made them.
+    lengths = sorted(r["n"] for r in rows.select(F.size("vector").alias("n")).distinct().collect())
+    found = [_neighbours(rows.filter(F.size("vector") == n), k) for n in lengths]
+    if not found:
+        found = [spark.createDataFrame([], "query_id bigint, rank int, id bigint, score double")]
+    named = reduce(DataFrame.unionByName, found)
+    return named.withColumnRenamed("id", beside(key, ["query_id", "rank", "score"]))
+
+
+def _neighbours(rows: DataFrame, k: int) -> DataFrame:
+    """nearest_neighbours of (id, vector, asks, name) rows with vectors of one length, stored."""
+    spark = rows.sparkSession
     order = Window.partitionBy("name").orderBy("id")
     smallest = rows.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k + 1)
     vectors = settle(smallest.groupBy("name").agg(F.first("vector").alias("vector"), F.sort_array(F.collect_list("id")).alias("ids")))
@@ -229,21 +240,22 @@ def nearest_neighbours(df: DataFrame, queries: Column, k: int = 20, key: str = "
     every_block = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
 
     def answers(some: DataFrame, radius: int) -> DataFrame:
-        """The best k of the queries in `some`, stored."""
+        """(name, id, score): the best k + 1 of each query vector in `some`, stored."""
         found = _search(index.select("block", "vector", "ids", "code", every_part), some.select("*", every_block), radius, k)
-        each = found.select("name", F.explode(F.arrays_zip("ids", "scores")).alias("f"))
-        own = asks.join(each, "name").filter(F.col("query_id") != F.col("f.ids"))
-        order = Window.partitionBy("query_id").orderBy(F.desc("score"), key)
-        ranked = own.select("name", "query_id", F.col("f.ids").alias(key), F.col("f.scores").alias("score"))
-        return settle(ranked.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k))
+        each = found.select("name", F.inline(F.arrays_zip(F.col("ids").alias("id"), F.col("scores").alias("score"))))
+        # k + 1, as one of them may be the row that asks.
+        best = Window.partitionBy("name").orderBy(F.desc("score"), "id")
+        return settle(each.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= k + 1).drop("place"))
 
     with small_batches(spark):
         bits = codes.rotation.shape[1]
         first = answers(asked, codes.radius)
-        full = first.groupBy("query_id").count().filter(F.col("count") >= min(k, stats["ids"] - 1))
-        short = asks.join(full, "query_id", "left_anti").select("name").distinct()
-        again = settle(asked.join(short, "name", "left_semi"))
+        # A vector is certain to have enough if it met k others, or all there are.
+        full = first.groupBy("name").count().filter(F.col("count") >= min(k + 1, stats["ids"]))
+        again = settle(asked.join(full, "name", "left_anti"))
         if codes.radius < bits and again.limit(1).count():
-            better = answers(again, bits)
-            first = first.join(again.select("name"), "name", "left_anti").unionByName(better)
-    return first.select("query_id", "rank", key, "score")
+            first = settle(first.join(again.select("name"), "name", "left_anti").unionByName(answers(again, bits)))
+    own = asks.join(first, "name").filter(F.col("query_id") != F.col("id"))
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
+    ranked = own.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "id", "score")

@@ -9,8 +9,10 @@ that makes its postings and expected candidates cheapest. Texts that share too f
 of their prefixes with texts of a fitting size are dropped before any set is moved and compared.
 
 Equal sets are one class and take part once. Texts that share a prefix shingle form a list.
-Lists are put together by their most usual member and compared there, block by block; only
-a tree of the links leaves a block, never its pairs. No link between different sets is
+Lists are put together by their most usual member, the pivot, and compared there, block by block;
+only a tree of the links leaves a block, never its pairs. In a group of several blocks each set is
+first compared with the pivot alone: those that link with it are one component already, and
+only the others are compared with the group. No link between different sets is
 lost, and components are exact.
 """
 
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from yieldwatch.llm import bloom
-from yieldwatch.llm.columns import free_name
+from yieldwatch.llm.columns import beside, free_name
 from yieldwatch.llm.components import connected_components
 from yieldwatch.llm.words import mix, shingles_of, words_of
 from yieldwatch.sources.scratch import settle
@@ -39,7 +41,7 @@ MOVE = 16  # to deal out one posting costs as much as this many comparisons
 POSTINGS = 1_000_000  # postings of a bucket, about
 HELD_POSTINGS = 500_000  # postings that a task holds before it deals them out
 PER_SALT = 1 << 16  # a list expected to be longer is spread over several buckets
-MOST_SETS = 1024  # sets of a block, about
+MOST_SETS = 256  # sets of a block, about
 MOST_TOKENS = 1 << 20  # shingles of all sets of a block, about
 MANY = 1024  # pairs that share a shingle; above, matrices count them
 BATCH_BYTES = 16 << 20
@@ -395,46 +397,100 @@ def _tree(classes: np.ndarray, u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray
     return classes[far], classes[label[far]]
 
 
+def _sets_of(table: pa.Table) -> list[np.ndarray]:
+    return [np.frombuffer(packed, dtype=np.uint64) for packed in table["tokens"].to_pylist()]
+
+
+def _links(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Whether each set on the left links with each on the right."""
+    both = overlaps(left, right).astype(np.float64)
+    n, m = (np.array([len(s) for s in sets], dtype=np.float64) for sets in (left, right))
+    return 100 * both >= NEED * (n[:, None] + m[None, :] - both)
+
+
 def _link(table: pa.Table) -> pa.Table:
-    """Links of one block of a group, or between two of its blocks, as a spanning tree."""
-    block = table["block"].to_numpy()
-    by = np.argsort(block, kind="stable")
-    block, classes = block[by], table["class"].to_numpy()[by]
-    packed = table["tokens"].to_pylist()
-    sets = [np.frombuffer(packed[i], dtype=np.uint64) for i in by.tolist()]
-    inside = table["i"][0].as_py() == table["j"][0].as_py()
-    cut = len(sets) if inside else int((block == block[0]).sum())
-    left, right = sets[:cut], sets if inside else sets[cut:]
-    u = v = np.zeros(0, dtype=np.int64)
-    if left and right:
-        n = np.array([len(s) for s in sets], dtype=np.float64)
-        both = overlaps(left, right).astype(np.float64)
-        union = n[:cut, None] + (n if inside else n[cut:])[None, :] - both
-        u, v = np.nonzero(100 * both >= NEED * union)
-        v = v if inside else v + cut
+    """Links between all sets of one block, as a spanning tree."""
+    classes, sets = table["class"].to_numpy(), _sets_of(table)
+    u, v = np.nonzero(_links(sets, sets))
     a, b = _tree(classes, u, v)
     return pa.table({"a": a, "b": b})
 
 
+def _link_with_pivot(table: pa.Table) -> pa.Table:
+    """(pivot, a, b): each set of a block with its pivot if they link, else with null."""
+    classes, sets = table["class"].to_numpy(), _sets_of(table)
+    pivot = table["pivot"][0].as_py()
+    first = int(np.flatnonzero(classes == pivot)[0])
+    others = np.flatnonzero(classes != pivot)
+    linked = _links([sets[first]], [sets[i] for i in others.tolist()])[0] if len(others) else np.zeros(0, dtype=bool)
+    ends = pa.array([pivot if yes else None for yes in linked.tolist()], pa.int64())
+    return pa.table({"pivot": pa.array([pivot] * len(others), pa.int64()), "a": classes[others], "b": ends})
+
+
+def _link_across(table: pa.Table) -> pa.Table:
+    """Links between the unsettled sets of a block and the sets of another, as a spanning tree."""
+    unsettled = table["unsettled"].to_numpy(zero_copy_only=False)
+    classes, sets = table["class"].to_numpy(), _sets_of(table)
+    left, right = np.flatnonzero(unsettled), np.flatnonzero(~unsettled)
+    if not len(left) or not len(right):
+        return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+    u, v = np.nonzero(_links([sets[i] for i in left.tolist()], [sets[i] for i in right.tolist()]))
+    a, b = _tree(classes, left[u], right[v])
+    # A class that stands on both sides is one node.
+    some = a != b
+    return pa.table({"a": a[some], "b": b[some]})
+
+
+def _blocks_of(count: Column, size: Column) -> Column:
+    return F.greatest(F.ceil(count / MOST_SETS), F.ceil(size / MOST_TOKENS)).cast("int")
+
+
 def linked_classes(lists: DataFrame, sets: DataFrame) -> DataFrame:
     """(node, root) of all classes that link with another.
 
     The pivot of a list is the member that is in most lists: of near copies, the one with
     the fewest changes of its own. All lists with the same pivot are one group, so a class is
-    in few groups, and two classes with a common list have a common group. A group is cut into blocks
-    of bounded size; each block, and each two blocks of a group, are compared in one task,
-    which returns a tree of the links it finds and never the pairs.
+    in few groups, and two classes with a common list have a common group. A group of one block
+    of bounded size is compared in one task. A larger one is compared with its pivot, block by
+    block; sets that link with it need no comparison among themselves, and each block of the
+    others meets each block of the group. Tasks return trees of the links they find and never the pairs.
     """
     usual = settle(lists.groupBy("class").agg(F.count("*").alias("usual")))
     lists = settle(lists.join(usual, "class"))
     pivots = settle(lists.groupBy("list").agg(F.max(F.struct("usual", "class"))["class"].alias("pivot")))
     members = settle(lists.join(pivots, "list").select("pivot", "class", "size").distinct())
-    blocks = F.greatest(F.ceil(F.count("*") / MOST_SETS), F.ceil(F.sum("size") / MOST_TOKENS)).cast("int")
-    groups = settle(members.groupBy("pivot").agg(blocks.alias("blocks"), F.count("*").alias("n")).filter("n > 1"))
-    dealt = members.join(groups, "pivot").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("pivot", "class", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    links = dealt.join(sets, "class").groupBy("pivot", "i", "j").applyInArrow(_link, "a bigint, b bigint")
+    sizes = members.groupBy("pivot").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
+    groups = settle(sizes.filter("n > 1").select("pivot", _blocks_of(F.col("n"), F.col("size")).alias("blocks")))
+    block = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int").alias("block")
+    dealt = members.join(groups, "pivot").select("pivot", "class", "size", "blocks", block)
+
+    small = dealt.filter("blocks = 1").select("pivot", "class")
+    links = small.join(sets, "class").groupBy("pivot").applyInArrow(_link, "a bigint, b bigint")
+
+    large = dealt.filter("blocks > 1")
+    # The pivot's set goes to each block of its group.
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
+    pivot_sets = groups.filter("blocks > 1").select("pivot", F.col("pivot").alias("class"), every)
+    rows = large.filter("class <> pivot").select("pivot", "class", "block").unionByName(pivot_sets)
+    star = rows.join(sets, "class").groupBy("pivot", "block").applyInArrow(_link_with_pivot, "pivot bigint, a bigint, b bigint")
+    star = settle(star)
+    links = links.unionByName(star.filter("b IS NOT NULL").select("a", "b"))
+
+    open_ = star.filter("b IS NULL").select("pivot", F.col("a").alias("class"))
+    if not open_.isEmpty():
+        open_ = settle(open_.join(members, ["pivot", "class"]))
+        counts = open_.groupBy("pivot").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
+        counts = settle(counts.select("pivot", _blocks_of(F.col("n"), F.col("size")).alias("parts")))
+        part = F.pmod(F.xxhash64("class", F.lit(1)), F.col("parts")).cast("int")
+        blocks = groups.select("pivot", "blocks")
+        unsettled = open_.join(counts, "pivot").join(blocks, "pivot").select(
+            "pivot", "class", part.alias("part"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("unsettled")
+        )
+        whole = large.join(counts, "pivot").select(
+            "pivot", "class", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "block", F.lit(False).alias("unsettled")
+        )
+        across = unsettled.unionByName(whole).join(sets, "class").groupBy("pivot", "part", "block")
+        links = links.unionByName(across.applyInArrow(_link_across, "a bigint, b bigint"))
     return settle(connected_components(settle(links.distinct()), "a", "b"))
 
 
@@ -472,14 +528,15 @@ def similarity_components(df: DataFrame, text: str = "text", key: str = "doc_id"
     empty text, or one without words, has no shingles and links with nothing; a text with
     one to four words is one shingle. Equal texts, and other texts with equal sets, are in
     one component; rows with a null key take part, their own component may be null.
-    Repeated rows stay repeated. No rows give no rows. Runs jobs; what they keep goes to the
+    Repeated rows stay repeated. No rows give no rows. A key named like one of the other
+    columns gets an underscore in front. Runs jobs; what they keep goes to the
     shared folder. Sets are named by 64-bit hashes of 64-bit shingle hashes.
     """
     rows, grouped = _classes(df, text, key)
     smallest = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
     by_class = settle(grouped.join(smallest, "root").select("class", "component_id"))
     return rows.join(by_class, "class", "left").select(
-        F.col("key").alias(key),
+        F.col("key").alias(beside(key, ["n_shingles", "component_id"])),
         "n_shingles",
         F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("key")).alias("component_id"),
     )
