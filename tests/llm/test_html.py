@@ -39,6 +39,8 @@ def text_of(page):
         ("<article><p>cut off <a href='x", "cut off"),
         ("<article><p hidden>no</p><p style='display: none'>no</p><p>yes</p></article>", "yes"),
         ("<article><p>x</p></article><p>y", "x"),
+        ("<article class='post ad-free'><p>yes</p></article><article class='comment'><p>no</p></article>", "yes"),
+        ("<div class='mainnav'>no</div><div class='story'><p>yes</p><div class='siteFooter'>no</div></div>", "yes"),
         ("no markup at all", "no markup at all"),
         ("<p>1 < 2 and 3 > 2</p>", "1 < 2 and 3 > 2"),
         ("<body class='has-sidebar'><p>yes</p></body>", "yes"),

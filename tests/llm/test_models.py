@@ -98,3 +98,45 @@ def test_statistics_of_odd_texts(spark):
     rows = quality.statistics_of(pa.array([None, "", " ", "a", "Aa!! Aa!!\n", "é" * 10]))
     assert rows.shape == (6, len(quality.STATISTICS)) and np.isfinite(rows).all() and (rows[0] == 0).all() and (rows[1] == 0).all()
     assert quality.statistics_of(pa.array([], pa.string())).shape == (0, len(quality.STATISTICS))
+
+
+def plain_statistics(text):
+    import math
+
+    import plain
+
+    data, words = (text or "").encode(), [w.encode() for w in plain.words(text)]
+    n, points = len(words), len(text or "")
+    stops = set(b".,;:?'\"-")
+    symbols = {c for c in range(33, 127) if not chr(c).isalnum() and c not in stops}
+
+    def share(part, whole):
+        return math.asin(math.sqrt(min(max(part / max(whole, 1), 0), 1)))
+
+    triples = [tuple(words[i : i + 3]) for i in range(n - 2)] or [tuple(words)] * bool(words)
+    return [
+        math.log1p(len(data)),
+        math.log1p(n),
+        math.log1p(sum(map(len, words)) / max(n, 1)),
+        share(sum(65 <= b <= 90 for b in data), points),
+        share(sum(48 <= b <= 57 for b in data), points),
+        share(sum(b in stops for b in data), n),
+        share(sum(b in symbols for b in data), points),
+        share(data.count(b"\n"), n),
+        share(len(set(words)), n),
+        share(max((words.count(w) for w in set(words)), default=0), n),
+        share(sum(a == b for a, b in zip(words, words[1:])), n),
+        share(sum(w[-1] in symbols for w in words), n),
+        share(sum(len(w) <= 3 for w in words), n),
+        share(len(set(triples)), len(triples)),
+        share(sum(len(w) >= 14 for w in words), n),
+    ]
+
+
+def test_statistics_equal_plain_ones():
+    import pyarrow as pa
+
+    texts = [sentence(lang, n) for lang in ALPHABETS for n in (1, 2, 3, 40)] + ["Aa!! Aa!! 12-3\n\n\nx x x", "é 😀 漢字漢字漢字", "a" * 99, "!!!", None, ""]
+    got = quality.statistics_of(pa.array(texts, pa.string()))
+    for row, text in zip(got, texts):
+        assert row.tolist() == pytest.approx(plain_statistics(text), abs=1e-12), text

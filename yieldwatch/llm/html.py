@@ -67,13 +67,16 @@ ROLES = set("navigation banner contentinfo complementary search form dialog aler
 ASIDE_WORDS = set(
     "ad ads adv banner promo comment comments respond reply replies gdpr consent notice notices notification alert popup "
     "modal overlay subscribe subscription signup login share sharing social related recommended pager nav menu masthead "
-    "widget toolbar skip search form".split()
+    "widget toolbar skip search form aside rail disclaimer legal copyright announcement toast teaser".split()
 )
 ASIDE_BEGINNINGS = tuple("advert adsby banner breadcrumb comment cookie disqus footer navbar navigation newsletter pagination popup sidebar sponsor".split())
+ASIDE_ENDINGS = tuple("nav menu sidebar footer banner comments".split())
+#: What an <article> is not: its other words name the article's topic or layout.
+NO_ARTICLE = ("comment", "advert", "promo", "related", "sponsor", "teaser")
 HEADER_WORDS = {"header", "topbar"}
 ARTICLE_WORDS = set("article entry post story".split())
 TEXT_WORDS = ARTICLE_WORDS | set("body content main prose text".split())
-WHOLE = {"html", "body", "main", "article"}
+WHOLE = {"html", "body", "main"}
 
 _TAG = re.compile(
     r"""<!--.*?(?:-->|\Z)"""  # a comment
@@ -129,7 +132,11 @@ def _for_something_else(tag: str, found: dict[str, str], inside_article: bool) -
         return True
     for name in [*found.get("class", "").split(), *found.get("id", "").split()]:
         words = set(_words(name))
-        if words & ASIDE_WORDS or any(w.startswith(ASIDE_BEGINNINGS) for w in words):
+        if tag == "article":
+            if any(w.startswith(NO_ARTICLE) for w in words):
+                return True
+            continue
+        if words & ASIDE_WORDS or any(w.startswith(ASIDE_BEGINNINGS) or w.endswith(ASIDE_ENDINGS) for w in words):
             return True
         if words & HEADER_WORDS and not (inside_article or tag in HEADINGS or words & ARTICLE_WORDS):
             return True

@@ -93,17 +93,35 @@ def _bound(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+# Letters and digits of an account number, by its country.
+ACCOUNT_LENGTHS = (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DK18 DO28 EE20 EG29 ES24 FI18 FO18 "
+    "FR27 GB22 GE22 GI23 GL18 GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 "
+    "LY25 MC27 MD24 ME22 MK19 MR27 MT31 MU30 NL18 NO15 PK24 PL28 PS29 PT25 QA29 RO24 RS22 SA24 SC31 SE24 SI19 SK24 SM27 "
+    "ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20"
+)
+
+
 def _account(begin: Column, rest: Column) -> Column:
-    """The longest valid account number that starts with `begin` and goes on in `rest`, or null."""
+    """The valid account number that starts with `begin` and goes on in `rest`, or null: the
+    one with the length of its country, else the longest."""
+
+    def code(rest: Column, size: Column) -> Column:
+        return F.replace(F.concat(begin, F.substr(rest, F.lit(1), size)), F.lit(" "), F.lit(""))
 
     def ends(rest: Column, size: Column) -> Column:
         groups = F.substr(rest, F.lit(1), size)
-        code = F.replace(F.concat(begin, groups), F.lit(" "), F.lit(""))
         shaped = groups.rlike(r"^(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?\z") & ~F.substr(rest, size + 1, F.lit(1)).rlike("[A-Za-z0-9]")
-        return F.when((F.length(groups) == size) & shaped & F.length(code).between(15, 34), mod97(code)).otherwise(False)
+        fits = (F.length(groups) == size) & shaped & F.length(code(rest, size)).between(15, 34)
+        return F.when(fits, mod97(code(rest, size))).otherwise(False)
+
+    def best(rest: Column, valid: Column) -> Column:
+        known = F.regexp_extract(F.lit(ACCOUNT_LENGTHS), F.concat(F.substr(begin, F.lit(1), F.lit(2)), F.lit("([0-9]+)")), 1)
+        usual = F.filter(valid, lambda n: F.length(code(rest, n)).cast("string") == known)
+        return F.coalesce(F.get(usual, F.lit(0)), F.get(valid, F.lit(0)))
 
     sizes = F.sequence(F.lit(ACCOUNT), F.lit(8), F.lit(-1))
-    size = _bound(rest, lambda r: F.get(F.filter(sizes, lambda n: ends(r, n)), F.lit(0)))
+    size = _bound(rest, lambda r: _bound(F.filter(sizes, lambda n: ends(r, n)), lambda valid: best(r, valid)))
     return F.when(size.isNotNull(), F.concat(begin, F.substr(rest, F.lit(1), size)))
 
 
