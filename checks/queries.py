@@ -342,6 +342,27 @@ def prepare_ml(spark, sf):
     return prepare.prepare_ml(wide_features(spark, sf), "urgent", list(fx.SERIES.values()))
 
 
+@query(
+    "numeric_columns",
+    """WITH days AS (SELECT CAST(o_orderdate AS DATE) AS date, count(*) AS orders, count(DISTINCT o_custkey) AS customers,
+                            CAST(max(o_custkey) AS DOUBLE) AS last_customer FROM orders GROUP BY 1)
+    SELECT 'orders' AS series_id, date, CAST(orders AS DOUBLE) AS value FROM days
+    UNION ALL SELECT 'customers', date, customers FROM days
+    UNION ALL SELECT 'last_customer', date, last_customer FROM days""",
+)
+def numeric_columns(spark, sf):
+    """Without named columns all 64-bit numeric ones are series; text and dates are not."""
+    day = F.to_date("o_orderdate").alias("date")
+    wide = fx.table(spark, sf, "orders").groupBy(day).agg(
+        F.count("*").alias("orders"),
+        F.count_distinct("o_custkey").alias("customers"),
+        F.max("o_custkey").cast("double").alias("last_customer"),
+        F.max("o_orderstatus").alias("status"),
+        F.max("o_custkey").cast("int").alias("narrow"),
+    )
+    return features.long_series(wide)
+
+
 @query(
     "prepare_behavioral",
     f"""WITH {sq.CUSTOMERS},
@@ -1058,7 +1079,7 @@ def score_histogram(spark, sf):
     {"forecast": 3},
 )
 def forecast_vs_actual(spark, sf):
-    return predictions(spark, sf).select("target", "model", "date", "actual", F.col("predicted").alias("forecast"))
+    return monitor.forecast_vs_actual(predictions(spark, sf))
 
 
 @query(

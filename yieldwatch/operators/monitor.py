@@ -42,6 +42,12 @@ def predictions_long(df: DataFrame, models: Sequence[str], ids: Sequence[str] =
     return df.select(*ids, F.explode(cells).alias("_c")).select(*ids, "_c.*")
 
 
+def forecast_vs_actual(predictions: DataFrame) -> DataFrame:
+    """(target, model, date, actual, forecast): what a chart of both lines reads. Rows without a
+    forecast stay, as gaps of its line."""
+    return predictions.select("target", "model", "date", "actual", F.col("predicted").alias("forecast"))
+
+
 def dashboard_fields(date: str = "date") -> dict[str, Column]:
     """Error and period columns of the fact table."""
     error = F.col("actual") - F.col("predicted")
