@@ -116,7 +116,8 @@ def _account(begin: Column, rest: Column) -> Column:
         return F.when(fits, mod97(code(rest, size))).otherwise(False)
 
     def best(rest: Column, valid: Column) -> Column:
-        known = F.regexp_extract(F.lit(ACCOUNT_LENGTHS), F.concat(F.substr(begin, F.lit(1), F.lit(2)), F.lit("([0-9]+)")), 1)
+        place = F.position(F.substr(begin, F.lit(1), F.lit(2)), F.lit(ACCOUNT_LENGTHS))
+        known = F.when(place > 0, F.substr(F.lit(ACCOUNT_LENGTHS), place + 2, F.lit(2)))
         usual = F.filter(valid, lambda n: F.length(code(rest, n)).cast("string") == known)
         return F.coalesce(F.get(usual, F.lit(0)), F.get(valid, F.lit(0)))
 
