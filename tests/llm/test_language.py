@@ -89,7 +89,7 @@ def test_sample_is_bounded_and_the_same_at_any_partitioning(spark, monkeypatch):
     np.testing.assert_array_equal(one.floors, other.floors)
     assert one.languages == other.languages and one.languages.count("fr") == 1
     # The centroids of 40 rows of the null ids: those with the lowest hashes.
-    prints = df.filter("lang = 'de'").select("text", F.xxhash64("text").alias("h")).distinct().orderBy("h").limit(40).collect()
+    prints = df.filter("lang = 'de'").select("text", F.lpad(F.hex(F.xxhash64("text")), 16, "0").alias("h")).distinct().orderBy("h").limit(40).collect()
     data = np.vstack([language.vectors(c, one.weights) for _, _, c in language.gram_counts(__import__("pyarrow").array([r["text"] for r in prints]))])
     want, _ = language.cluster(data, language.CLUSTERS)
     got = one.centres[[i for i, name in enumerate(one.languages) if name == "de"]]

@@ -12,11 +12,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from yieldwatch.llm.columns import free_name, without
 from yieldwatch.llm.words import parts, text_buffer
+from yieldwatch.operators.select import kth_smallest
 from yieldwatch.sources.scratch import settle
 
 DIMENSIONS = 4096
@@ -167,24 +168,25 @@ def fit(texts: DataFrame, text: str = "text", lang: str = "lang", key: str = "do
     weights = text_weights(known)
     # A row is known by its id and text; equal rows are one, so repeated or null ids count
     # for no more than the sample's bound.
-    row = [F.xxhash64("key").alias("place"), F.xxhash64("text").alias("print")]
-    order = Window.partitionBy("lang").orderBy("place", "print")
-    distinct = known.select("lang", *row).distinct()
-    drawn = distinct.withColumn("_number", F.row_number().over(order)).filter(F.col("_number") <= sample)
-    drawn = settle(drawn.select("lang", "place", "print"))
-    texts_drawn = known.select("lang", "text", *row).join(drawn, ["lang", "place", "print"])
+    row = F.concat(*[F.lpad(F.hex(F.xxhash64(c)), 16, "0") for c in ("key", "text")]).alias("row")
+    distinct = settle(known.select("lang", row).distinct())
+    sizes = distinct.groupBy("lang").agg(F.least(F.count("*"), F.lit(sample)).alias("k"))
+    # The cut is found by counting, so no language's rows are ranked in one task.
+    cuts = settle(kth_smallest(distinct, ["lang"], "row", 32, sizes).select("lang", "cut"))
+    if cuts.count() > MOST_LANGUAGES:
+        raise ValueError(f"{lang} has more than {MOST_LANGUAGES} values; it does not name languages")
+    drawn = settle(distinct.join(cuts, "lang").filter(F.col("row") <= F.col("cut")).select("lang", "row"))
+    texts_drawn = known.select("lang", "text", row).join(drawn, ["lang", "row"])
     # One of equal rows: at most `sample` rows of a language go on.
-    rows = texts_drawn.groupBy("lang", "place", "print").agg(F.min("text").alias("text"))
+    rows = texts_drawn.groupBy("lang", "row").agg(F.min("text").alias("text"))
 
     def centres(batches: pa.Table) -> pa.Table:
-        batches = batches.sort_by([("place", "ascending"), ("print", "ascending")])
+        batches = batches.sort_by("row")
         data = np.vstack([vectors(c, weights) for _, _, c in gram_counts(batches["text"].combine_chunks())])
         found, floors = cluster(data, CLUSTERS)
         names = [batches["lang"][0].as_py()] * len(found)
         return pa.table({"lang": names, "centre": pa.array(found.tolist(), pa.list_(pa.float64())), "floor": floors})
 
-    if drawn.select("lang").distinct().count() > MOST_LANGUAGES:
-        raise ValueError(f"{lang} has more than {MOST_LANGUAGES} values; it does not name languages")
     fitted = rows.groupBy("lang").applyInArrow(centres, "lang string, centre array<double>, floor double")
     learned = sorted(fitted.collect(), key=lambda r: (r["lang"], r["centre"]))
     matrix = np.array([r["centre"] for r in learned]).reshape(len(learned), DIMENSIONS)
