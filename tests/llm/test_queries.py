@@ -33,13 +33,14 @@ def documents():
     return rows
 
 
+DOCUMENTS = documents()
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
 
 @pytest.fixture(scope="module")
 def folder(spark, tmp_path_factory):
     path = tmp_path_factory.mktemp("tables")
-    rows = documents()
+    rows = DOCUMENTS
     spark.createDataFrame(rows, SCHEMA).write.parquet(f"{path}/documents.parquet")
     labels = [(r[0], int(i % 2), 0) for i, r in enumerate(rows) if r[0] is not None and r[0] < 60] + [(None, 1, 0)]
     spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
@@ -68,7 +69,7 @@ def test_op3(spark, folder):
 
 def test_op4(spark, folder):
     found = rows_of(spark, folder, "op4_quadratic_quality")
-    assert len(found) == len(documents())
+    assert len(found) == len(DOCUMENTS)
     for r in found:
         assert r["held_out"] == (plain.crc_mod(r["doc_id"], 3) == 1)
         assert 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5)
@@ -86,7 +87,7 @@ def test_op6(spark, folder):
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     want = []
-    for key, text, *_ in documents():
+    for key, text, *_ in DOCUMENTS:
         ids = library.encode_ordinary(text or "")
         want.append((key, len(ids), sha(np.array(ids, dtype="<u4").tobytes()), sha(text or "")))
     assert as_bag(map(tuple, rows_of(spark, folder, "op6_byte_bpe"))) == as_bag(want)
@@ -108,7 +109,7 @@ def test_op8(spark, folder):
 
 def test_op9_is_the_permutation_recomputed(spark, folder):
     found = rows_of(spark, folder, "op9_feistel_shards")
-    rows = documents()
+    rows = DOCUMENTS
     want = [(k, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for k, t, *_ in rows]
     assert as_bag((r["doc_id"], r["size"], r["text_crc32"]) for r in found) == as_bag(want)
     assert {(r["law"], r["grown_shard"]) for r in found} == {("rows", None)}
@@ -130,7 +131,7 @@ def test_op9_is_the_permutation_recomputed(spark, folder):
 
 def test_op10(spark, folder):
     found = {r["doc_id"]: r for r in rows_of(spark, folder, "op10_pii_spans")}
-    for key, text, *_ in documents():
+    for key, text, *_ in DOCUMENTS:
         spans = plain.base_spans(text)
         r = found[key]
         for kind in plain.PATTERNS:
