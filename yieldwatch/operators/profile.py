@@ -81,21 +81,24 @@ def _exact_quartiles(df: DataFrame, columns: Sequence[str], cells: dict[tuple[in
     outside = [F.count_if(_number(df, columns[i]) < F.lit(cells[i, k][0])).alias(f"below_{i}_{k}") for i, k in keys]
     below = df.agg(*outside).first()
     ranks = {(i, k): (cells[i, k][2] - 1) * QUARTILES[k] for i, k in keys}
-    entries = [
-        F.struct(F.lit(place).alias("cell"), _number(df, columns[i]).alias("value"))
+    # Only what lies in a cell becomes a row.
+    held = [
+        F.when(
+            _number(df, columns[i]).between(F.lit(cells[i, k][0]), F.lit(cells[i, k][1])),
+            F.struct(F.lit(place).alias("cell"), _number(df, columns[i]).alias("value")),
+        )
         for place, (i, k) in enumerate(keys)
     ]
-    bounds = [F.struct(F.lit(cells[key][0]).alias("least"), F.lit(cells[key][1]).alias("most")) for key in keys]
-    held = F.filter(
-        F.array(*entries),
-        lambda e: e["value"].between(F.get(F.array(*bounds), e["cell"])["least"], F.get(F.array(*bounds), e["cell"])["most"]),
-    )
-    values = df.select(F.inline(held))
+    values = df.select(F.inline(F.array_compact(F.array(*held))))
     counts = values.groupBy("cell", "value").agg(F.count(F.lit(1)).alias("n"))
     running = prefix_sums(counts, ["cell"], "value", ["n"])
     # The two ranks around the quartile, counted from the cell's first value.
-    places = F.array(*[F.struct(F.lit(float(math.floor(ranks[key]) - below[f"below_{key[0]}_{key[1]}"])).alias("low"), F.lit(float(math.ceil(ranks[key]) - below[f"below_{key[0]}_{key[1]}"])).alias("high")) for key in keys])
-    place = F.get(places, F.col("cell"))
+    starts = [below[f"below_{i}_{k}"] for i, k in keys]
+    places = [
+        F.struct(F.lit(math.floor(ranks[key]) - start).alias("low"), F.lit(math.ceil(ranks[key]) - start).alias("high"))
+        for key, start in zip(keys, starts, strict=True)
+    ]
+    place = F.get(F.array(*places), F.col("cell"))
     first, last = F.col("before_n"), F.col("before_n") + F.col("n") - 1
     near = running.filter(place["low"].between(first, last) | place["high"].between(first, last))
     found: dict[int, dict] = {}
