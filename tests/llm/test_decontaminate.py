@@ -137,3 +137,12 @@ def test_changed_and_partial_items_are_those_of_a_search_of_all_places(spark):
     bench = spark.createDataFrame([(k, words(r)) for k, r in enumerate(items)], "item_id int, text string")
     out = {r["doc_id"]: (r["item_id"], r["score"]) for r in decontaminate.find_overlaps(docs, bench).collect()}
     assert out == {i: best(t) for i, t in enumerate(texts)}
+
+
+def test_keys_named_like_made_columns(spark):
+    item = " ".join(ITEMS[0])
+    docs = spark.createDataFrame([(1, item), (2, "a b c")], "score int, text string")
+    items = spark.createDataFrame([(7, item)], "matched int, text string")
+    out = decontaminate.find_overlaps(docs, items, key="score", item_key="matched")
+    assert out.columns == ["_score", "contaminated", "_matched", "score", "matched", "first_word", "last_word"]
+    assert {r["_score"]: (r["contaminated"], r["_matched"], r["matched"]) for r in out.collect()} == {1: (True, 7, 40), 2: (False, None, None)}
