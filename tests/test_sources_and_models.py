@@ -176,6 +176,15 @@ def test_class_weights_balance(spark):
     assert [r[1] for r in got] == [pytest.approx(2.0), pytest.approx(2.0)]
 
 
+def test_forest_keeps_the_places_of_rows(spark):
+    """With them a level reads each row's place; without them it leads every row down every tree."""
+    assert models.rf_classifier("y").getCacheNodeIds()
+    rng = np.random.default_rng(5)
+    rows = spark.createDataFrame([(float(x), int(x > 0), 1.0) for x in rng.normal(size=200)], f"x double, y int, {models.WEIGHT} double")
+    model = models.fit(rows, ["x"], models.rf_classifier("y", trees=3))
+    assert models.positive_score(model, rows, ["x"], "y").filter((F.col("score") > 0.5) == (F.col("label") == 1)).count() >= 195
+
+
 def test_regressors_train_and_compare(spark):
     rng = np.random.default_rng(2)
     clean = daily(spark, p=rng.normal(size=200).cumsum() + 50, q=rng.normal(size=200).cumsum() + 20)
