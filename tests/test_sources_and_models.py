@@ -176,6 +176,19 @@ def test_class_weights_balance(spark):
     assert [r[1] for r in got] == [pytest.approx(2.0), pytest.approx(2.0)]
 
 
+def test_many_training_rows_lie_in_even_parts(spark, monkeypatch):
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.range(0, 400 * cores + 1, 1, cores + 1).select("id", (F.col("id") % 2).cast("double").alias("y"))
+    assert models.in_even_parts(rows).rdd.getNumPartitions() == cores + 1  # few rows stay as they lie
+    monkeypatch.setattr(models, "ROWS_PER_CORE", 100)
+    even = models.in_even_parts(rows)
+    sizes = [r[0] for r in even.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    assert len(sizes) == 2 * cores and max(sizes) - min(sizes) <= cores + 1
+    assert sorted(r.id for r in even.collect()) == list(range(400 * cores + 1))
+    model = models.fit(rows, ["id"], models.gbt_classifier("y", trees=1, max_depth=2))
+    assert models.positive_score(model, rows, ["id"], "y").filter("score BETWEEN 0 AND 1").count() == 400 * cores + 1
+
+
 def test_forest_keeps_the_places_of_rows(spark):
     """With them a level reads each row's place; without them it leads every row down every tree."""
     assert models.rf_classifier("y").getCacheNodeIds()
