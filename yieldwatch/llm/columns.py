@@ -1,8 +1,20 @@
-"""Column names that do not clash with those of the caller's table."""
+"""Column names that do not clash with those of the caller's table, and columns computed once."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def computed_once(run: Callable, kind: str) -> Callable:
+    """An Arrow UDF that filters and joins on its column do not run again.
+
+    The planner copies a deterministic one into filters below the column, so that each task
+    runs it twice, with two Python workers at a time.
+    """
+    return F.arrow_udf(run, kind).asNondeterministic()
 
 
 def free_name(df: DataFrame, name: str) -> str:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from yieldwatch.llm import bloom
-from yieldwatch.llm.columns import beside, free_name
+from yieldwatch.llm.columns import beside, computed_once, free_name
 from yieldwatch.llm.jaccard import small_batches
 from yieldwatch.llm.words import Words, mix, power, words_of
 from yieldwatch.sources.scratch import settle
@@ -220,7 +220,7 @@ def _verdicts(df: DataFrame, benchmark: DataFrame, text: str, key: str, item_tex
         laid = hits.join(seeds, "hash").select("name", "item", (F.col("place") - F.col("item_at")).alias("shift")).distinct()
         pairs = settle(laid).join(texts.select("name", "tokens"), "name")
         pairs = pairs.join(items.select("item", "item_key", F.col("tokens").alias("item_tokens")), "item")
-        verify = F.arrow_udf(_verify, "struct<score:double,matched:int,first:int,last:int,contaminated:boolean>")
+        verify = computed_once(_verify, "struct<score:double,matched:int,first:int,last:int,contaminated:boolean>")
         checked = pairs.select("name", "item_key", verify("tokens", "item_tokens", "shift").alias("r"))
         checked = checked.filter("r.contaminated")
         best = F.struct("r.score", F.col("item_key"), "r.matched", "r.first", "r.last")
@@ -266,7 +266,7 @@ def text_name(text: str | Column) -> Column:
         names = [text_names(words) for _, _, words in words_of(texts)]
         return pa.array(np.concatenate(names + [np.zeros(0, dtype=np.int64)]), pa.int64())
 
-    return F.arrow_udf(run, "bigint")(text)
+    return computed_once(run, "bigint")(text)
 
 
 def drop_contaminated(

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from yieldwatch.llm import bloom
-from yieldwatch.llm.columns import beside, free_name
+from yieldwatch.llm.columns import beside, computed_once, free_name
 from yieldwatch.llm.components import connected_components
 from yieldwatch.llm.words import mix, shingles_of, words_of
 from yieldwatch.sources.scratch import settle
@@ -500,7 +500,7 @@ def text_class(text: str | Column) -> Column:
     def run(texts: pa.Array) -> pa.Array:
         return pa.array(np.concatenate([c for *_, c in _sets(texts)] + [np.zeros(0, dtype=np.int64)]), pa.int64())
 
-    return F.arrow_udf(run, "bigint")(text)
+    return computed_once(run, "bigint")(text)
 
 
 def _classes(df: DataFrame, text: str, key: str) -> tuple[DataFrame, DataFrame]:
